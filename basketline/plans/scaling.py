@@ -1,0 +1,60 @@
+"""Time the invoice rollup on samples of growing size and price the runs."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+from basketline import schemas
+from basketline.operators import metrics, runcost, sampling
+from basketline.sources import lineage, sinks
+
+# Mode, resource profile, share of the invoices.
+CASES = (
+    ("strong", "E4_C4_M16", 0.6),
+    ("strong", "E8_C4_M16", 0.6),
+    ("strong", "E12_C4_M16", 0.6),
+    ("weak", "E4_C4_M16", 0.2),
+    ("weak", "E8_C4_M16", 0.4),
+    ("weak", "E12_C4_M16", 0.6),
+)
+
+
+def timed_rollup(invoices: DataFrame) -> tuple[float, int]:
+    """Seconds and result rows. All columns and the sort are computed: a count would skip them."""
+    started = time.perf_counter()
+    rows = sinks.write_counted(
+        metrics.place_rollup(invoices), lambda f: f.write.format("noop").mode("overwrite").save()
+    )
+    return time.perf_counter() - started, rows
+
+
+def scaling(
+    invoices: DataFrame,
+    output_path: str,
+    cases: Sequence[tuple[str, str, float]] = CASES,
+    csv_path: str | None = None,
+    log_path: str | None = None,
+    source_name: str = "",
+) -> DataFrame:
+    """Run the cases one after the other and write their cost table.
+
+    A resource profile is the label of the cluster the caller runs on; it prices the run and does
+    not change the session.
+    """
+    spark = invoices.sparkSession
+    with lineage.recorded(spark, log_path, "04_scaling", source_name, output_path) as run:
+        rows = []
+        for i, (mode, profile, fraction) in enumerate(cases):
+            sample = sampling.bernoulli_sample(invoices, fraction) if fraction < 1 else invoices
+            rows.append((i, mode, profile, *timed_rollup(sample)))
+        table = runcost.run_cost(spark.createDataFrame(rows, schemas.RUNS))
+        run.row_count = sinks.write_single_file(table, output_path)
+        for mode in (runcost.STRONG, runcost.WEAK):
+            run.extra[f"{mode}_cases"] = sum(1 for case in cases if case[0] == mode)
+        written = spark.read.parquet(output_path)
+        if csv_path:
+            sinks.export_csv(written, f"{csv_path}/scaling_csv")
+    return written
