@@ -1,4 +1,8 @@
-"""Lenient conversions: a bad cell becomes a default value, never a failed job."""
+"""Lenient conversions: a bad cell becomes a default value, never a failed job.
+
+They are kept short on purpose: normalising and validating is one generated method, and the JVM
+does not compile a method of more than 8000 bytes, which would make it several times slower.
+"""
 
 from __future__ import annotations
 
@@ -20,23 +24,25 @@ def text_or(c: Column, default: str) -> Column:
     return F.coalesce(c.cast("string"), F.lit(default))
 
 
-def _finite(c: Column) -> Column:
-    # NaN sorts above infinity in Spark, so one comparison drops both.
-    return F.when(F.abs(c) < F.lit(math.inf), c)
+# Fixed value: numbers the JVM reads but which are no numbers in a data file, such as 5d or 2.5F.
+JVM_SUFFIX = r"[dDfF]\s*$"
+
+
+def _as_double(c: Column, is_text: bool) -> Column:
+    number = c.try_cast("double")
+    return F.when(~c.rlike(JVM_SUFFIX), number) if is_text else number
 
 
 def double_or_null(c: Column, is_text: bool = True) -> Column:
-    """Finite double, else null. ``is_text`` rejects JVM spellings such as ``5d`` or ``2f``."""
-    number = _finite(c.try_cast("double"))
-    if not is_text:
-        return number
-    last = F.lower(F.right(F.trim(c), F.lit(1)))
-    return F.when(~last.isin("d", "f"), number)
+    """Finite double, else null."""
+    number = _as_double(c, is_text)
+    # NaN sorts above infinity in Spark, so one comparison drops both.
+    return F.when(F.abs(number) < F.lit(math.inf), number)
 
 
 def long_or_null(c: Column, is_text: bool = True) -> Column:
     """Whole number; a fraction is cut off. Direct first, so ids above 2**53 stay exact."""
-    return F.coalesce(c.try_cast("bigint"), double_or_null(c, is_text).try_cast("bigint"))
+    return F.coalesce(c.try_cast("bigint"), _as_double(c, is_text).try_cast("bigint"))
 
 
 def double_or(c: Column, default: float, is_text: bool = True) -> Column:
@@ -47,14 +53,25 @@ def long_or(c: Column, default: int, is_text: bool = True) -> Column:
     return F.coalesce(long_or_null(c, is_text), F.lit(default).cast("bigint"))
 
 
-def wall_clock_text(c: Column, formats: Sequence[str] = ()) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text of a date cell, null when unreadable; sub-seconds are cut.
+# Fixed value: the layout of a wall-clock text, as a LIKE pattern.
+WALL_CLOCK_LAYOUT = "____-__-__ __:__:__"
+
+
+def wall_clock(c: Column, formats: Sequence[str] = ()) -> tuple[Column, Column]:
+    """(``yyyy-MM-dd HH:mm:ss`` text, timestamp) of a date cell, null when unreadable.
 
-    With no ``formats`` ISO text (or a date/time column) is read by a cast, which is several
-    times cheaper than a pattern parser. Otherwise the first pattern that fits wins.
+    Sub-seconds are cut. With no ``formats`` ISO text (or a date/time column) is read by a cast,
+    which is cheaper than a pattern parser; otherwise the first pattern that fits wins. Text that
+    already has the layout is passed on, since writing a time out costs more than reading it.
     """
     if formats:
         parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
     else:
         parsed = c.try_cast("timestamp_ntz")
-    return F.left(parsed.cast("string"), F.lit(19))
+    text = c.cast("string")
+    as_is = parsed.isNotNull() & text.like(WALL_CLOCK_LAYOUT) if not formats else F.lit(False)
+    written = F.left(parsed.cast("string"), F.lit(19))
+    return (
+        F.when(as_is, text).otherwise(written),
+        F.when(as_is, parsed).otherwise(written.cast("timestamp_ntz")),
+    )

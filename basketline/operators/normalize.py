@@ -30,12 +30,14 @@ def normalise(df: DataFrame, ingested_at: str | None = None, date_formats: Seque
     """
     is_text = {f.name: isinstance(f.dataType, StringType) for f in df.schema.fields}
     empty = F.lit("")
+    date_text, date_time = casts.wall_clock(F.col("invoice_date"), date_formats)
     typed = df.select(
         F.coalesce(casts.stripped(F.col("invoice_no")), empty).alias("invoice_no"),
         F.coalesce(casts.stripped(F.col("stock_code")), empty).alias("stock_code"),
         casts.text_or(F.col("description"), UNKNOWN).alias("description"),
         casts.long_or(F.col("quantity"), 0, is_text["quantity"]).alias("quantity"),
-        casts.wall_clock_text(F.col("invoice_date"), date_formats).alias("invoice_date"),
+        date_text.alias("invoice_date"),
+        date_time.alias("invoice_ts"),
         casts.double_or(F.col("unit_price"), 0.0, is_text["unit_price"]).alias("unit_price"),
         casts.long_or(F.col("customer_id"), int(MISSING_CUSTOMER), is_text["customer_id"])
         .cast("string")
@@ -48,7 +50,7 @@ def normalise(df: DataFrame, ingested_at: str | None = None, date_formats: Seque
         "description",
         "quantity",
         "invoice_date",
-        F.col("invoice_date").cast("timestamp_ntz").alias("invoice_ts"),
+        "invoice_ts",
         "unit_price",
         "customer_id",
         "country",
