@@ -32,8 +32,12 @@ def resampled(df: DataFrame, row_id: Sequence[str], replicates: int = REPLICATES
 def bootstrap_auc(
     df: DataFrame, row_id: Sequence[str], label: str = "label", score: str = "score", replicates: int = REPLICATES
 ) -> DataFrame:
-    """One ``auc`` per replicate. Weights add up per (replicate, score) before any shuffle."""
-    scored = df.select(*row_id, label, score)
+    """One ``auc`` per replicate. Weights add up per (replicate, score) before they are shuffled.
+
+    The rows are spread by id first: each becomes ``replicates`` rows, and a scan split sized for
+    the input would be a task that many times too long.
+    """
+    scored = df.select(*row_id, label, score).repartition(*row_id)
     counts = score_counts(
         resampled(scored, row_id, replicates), label, score, by=("rep",), weight=F.col("weight")
     )
