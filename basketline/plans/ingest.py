@@ -30,10 +30,11 @@ def ingest(
     ingested_at: str | None = None,
     date_formats: Sequence[str] = (),
     max_records: int = 0,
+    partitions: Sequence[str] = sinks.BRONZE_PARTITIONS,
     log_path: str | None = None,
     source_name: str = "",
 ) -> IngestCounts:
-    """Normalise, validate and write both tables; rows are counted while they are written.
+    """Normalise, validate and write both tables; rows are counted from the files written.
 
     ``raw`` has our column names (see ``read_source``). The two writes read the source once each
     and hold nothing in memory: there is no shuffle before the split, so reading again is cheaper
@@ -46,7 +47,7 @@ def ingest(
         lines = normalize.normalise(capped, ingested_at, date_formats)
         valid, rejected = validate.split(lines)
         counts = IngestCounts(
-            valid=sinks.write_bronze(valid, bronze_path, batch_id),
+            valid=sinks.write_bronze(valid, bronze_path, batch_id, partitions),
             rejected=sinks.write_quarantine(rejected, quarantine_path, batch_id),
         )
         run.row_count = counts.valid

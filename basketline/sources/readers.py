@@ -43,9 +43,11 @@ def read_bronze(
     if countries is not None:
         df = df.filter(F.col("country").isin(*countries))
     if start is not None:
+        df = df.filter(F.col("invoice_year") >= start.year)
         df = df.filter(_month_number() >= start.year * 12 + start.month)
         df = df.filter(F.col("invoice_ts") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
+        df = df.filter(F.col("invoice_year") <= end.year)
         df = df.filter(_month_number() <= end.year * 12 + end.month)
         df = df.filter(F.col("invoice_ts") < F.date_add(F.lit(end), 1).cast("timestamp_ntz"))
     return df

@@ -79,7 +79,7 @@ def main(sf_dir: str, names: list[str]) -> int:
                 found = differences(frame, con, ORACLE_SQL[name])
                 note = "; ".join(found) or "equal"
             else:
-                found, note = [], f"{frame.count()} rows, no SQL twin"
+                found, note = [], f"{len(frame.collect())} rows, no SQL twin"
         except Exception as error:  # report every query, then fail
             found = note = f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(found)

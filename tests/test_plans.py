@@ -26,7 +26,13 @@ def store(spark, sf_dir, tmp_path_factory):
     raw = fx.raw_lines(spark, sf_dir)
     for _ in range(2):  # the second run replaces the first
         counts = ingest.ingest(
-            raw, paths["bronze"], paths["quarantine"], batch_id="b1", log_path=paths["log"], source_name="raw"
+            raw,
+            paths["bronze"],
+            paths["quarantine"],
+            batch_id="b1",
+            partitions=("country", "invoice_year"),
+            log_path=paths["log"],
+            source_name="raw",
         )
     paths["counts"] = counts
     bronze = readers.read_bronze(spark, paths["bronze"])
@@ -58,7 +64,7 @@ def test_bronze_read_prunes_partitions(spark, store):
     )
     assert df.count() == expected.count() > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(country" in plan and "invoice_month" in plan.split("PartitionFilters")[1]
+    assert "PartitionFilters: [isnotnull(country" in plan and "invoice_year" in plan.split("PartitionFilters")[1]
     assert "GreaterThanOrEqual(invoice_ts" in plan.split("PushedFilters")[1]
 
 
