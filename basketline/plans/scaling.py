@@ -50,7 +50,8 @@ def scaling(
             sample = sampling.bernoulli_sample(invoices, fraction) if fraction < 1 else invoices
             rows.append((i, mode, profile, *timed_rollup(sample)))
         table = runcost.run_cost(spark.createDataFrame(rows, schemas.RUNS))
-        run.row_count = sinks.write_single_file(table, output_path)
+        sinks.write_single_file(table, output_path)
+        run.row_count = len(rows)
         for mode in (runcost.STRONG, runcost.WEAK):
             run.extra[f"{mode}_cases"] = sum(1 for case in cases if case[0] == mode)
         written = spark.read.parquet(output_path)
