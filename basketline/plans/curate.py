@@ -74,7 +74,7 @@ def curate(
     and a lost executor costs no recomputation of the wide part.
     """
     spark = bronze.sparkSession
-    with lineage.recorded(spark, log_path, "02_pipeline", source_name, gold_path) as run:
+    with lineage.recorded(spark, log_path, "curate", source_name, gold_path) as run:
         started = time.perf_counter()
         dim = enrich.country_dim(spark) if dim is None else dim
         summary_path = f"{gold_path}/basket_summary"

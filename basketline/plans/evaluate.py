@@ -41,7 +41,7 @@ def evaluate(
 ) -> DataFrame:
     """Write the (metric, value) table of the test split and give it back as a frame."""
     spark = gold_features.sparkSession
-    with lineage.recorded(spark, log_path, "05_evaluate", source_name, output_path) as run:
+    with lineage.recorded(spark, log_path, "evaluate", source_name, output_path) as run:
         train, valid, scored = scored_test_split(gold_features, model_path, label)
         table = evaluation.evaluation_long(
             scored,

@@ -42,7 +42,7 @@ def ingest(
     """
     ingested_at = ingested_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     spark = raw.sparkSession
-    with lineage.recorded(spark, log_path, "01_ingest", source_name, bronze_path) as run:
+    with lineage.recorded(spark, log_path, "ingest", source_name, bronze_path) as run:
         capped = normalize.record_cap(raw, max_records, *raw.columns)
         lines = normalize.normalise(capped, ingested_at, date_formats)
         valid, rejected = validate.split(lines)

@@ -44,7 +44,7 @@ def scaling(
     not change the session.
     """
     spark = invoices.sparkSession
-    with lineage.recorded(spark, log_path, "04_scaling", source_name, output_path) as run:
+    with lineage.recorded(spark, log_path, "scaling", source_name, output_path) as run:
         rows = []
         for i, (mode, profile, fraction) in enumerate(cases):
             sample = sampling.bernoulli_sample(invoices, fraction) if fraction < 1 else invoices

@@ -24,7 +24,7 @@ def _struct(*fields) -> StructType:
 
 _TEXT, _LONG, _INT, _DOUBLE, _TIME = StringType(), LongType(), IntegerType(), DoubleType(), TimestampNTZType()
 
-# Column names of the public Online Retail sheet and our names for them.
+# Column names of a source sheet and our names for them.
 SOURCE_COLUMNS = {
     "InvoiceNo": "invoice_no",
     "StockCode": "stock_code",

@@ -115,14 +115,14 @@ def test_layout_options(spark, tmp_path):
 
 
 def test_lineage(spark, store):
-    with pytest.raises(RuntimeError), lineage.recorded(spark, store["log"], "02_pipeline", "in", "out"):
+    with pytest.raises(RuntimeError), lineage.recorded(spark, store["log"], "curate", "in", "out"):
         raise RuntimeError("boom")
     log = lineage.read_log(spark, store["log"])
     latest = {r.run_name: r for r in lineage.latest_runs(log).collect()}
-    assert latest["02_pipeline"].failed and latest["02_pipeline"].extra["error"] == "boom"
-    assert not latest["01_ingest"].failed and latest["01_ingest"].extra["invalid_rows"] == "366"
+    assert latest["curate"].failed and latest["curate"].extra["error"] == "boom"
+    assert not latest["ingest"].failed and latest["ingest"].extra["invalid_rows"] == "366"
     health = {r.run_name: (r.runs, r.failures) for r in lineage.run_health(log).collect()}
-    assert health == {"01_ingest": (2, 0), "02_pipeline": (2, 1)}
+    assert health == {"ingest": (2, 0), "curate": (2, 1)}
     assert [(r.join_mode, r.runs) for r in lineage.runtime_by_join_mode(log).collect()] == [("broadcast", 1)]
 
 
