@@ -53,32 +53,43 @@ def double_array(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         for byte in key:
             node = node.setdefault(byte, {})
         node[-1] = number
-    room = 1024
-    base, check, value = (np.full(room, fill, np.int32) for fill in (0, -1, -1))
+    room = 4096
+    base, check, value = [0] * room, [-1] * room, [-1] * room
     check[0] = 0
-    first, todo = 1, [(tree, 0)]
+    free = bytearray(b"\0" * room)  # 1 where taken
+    free[0] = 1
+    holes, front, todo = 1, 1, [(tree, 0)]
     while todo:
         node, state = todo.pop()
         value[state] = node.get(-1, -1)
-        labels = np.array(sorted(b for b in node if b >= 0), np.int64) + 1
-        if not len(labels):
+        labels = sorted(b + 1 for b in node if b >= 0)
+        if not labels:
             continue
-        while check[first] >= 0:
-            first += 1
-        start = max(0, first - int(labels[0]))
+        # a lone child fills the first hole; families look from a front that moves on, so no search is long
+        at = free.find(0, holes if len(labels) == 1 else front, len(free))
         while True:
-            while start + 512 > len(check):
-                base, check, value = (
-                    np.concatenate((old, np.full(len(old), fill, np.int32)))
-                    for old, fill in ((base, 0), (check, -1), (value, -1))
-                )
-            if (check[start + labels] < 0).all():
+            if at < 0 or at + 512 > len(free):
+                at = len(free) - 600 if at < 0 else at
+                grown = len(free)
+                base += [0] * grown
+                check += [-1] * grown
+                value += [-1] * grown
+                free += b"\0" * grown
+                at = free.find(0, at)
+            start = at - labels[0]
+            if start >= 0 and not any(free[start + b] for b in labels):
                 break
-            start += 1
+            at = free.find(0, at + 1)
+        if len(labels) == 1:
+            holes = at
+        elif at > front + 64:
+            front = at - 64
         base[state] = start
-        check[start + labels] = state
-        todo += [(node[int(b) - 1], int(start + b)) for b in labels]
-    return base, check, value
+        for b in labels:
+            free[start + b] = 1
+            check[start + b] = state
+            todo.append((node[b - 1], start + b))
+    return tuple(np.array(x, np.int32) for x in (base, check, value))
 
 
 def load(path: str) -> dict:
