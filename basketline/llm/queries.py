@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketline.llm import mixing
-from basketline.llm.tables import table
+from basketline.llm import fingerprints, line_dedup, mixing, near_dups, piece_coding, quality_model, quality_rules
+from basketline.llm import secret_scan, token_counts, url_filter
+from basketline.llm.tables import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +21,65 @@ def query(f: Query) -> Query:
     return f
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_pieces(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = piece_coding.encode(docs, vocabulary("piece_bpe_32k.model"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_ids"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text_of("row.text")).alias("round_trip"),
+    )
+
+
+@query
+def op2_urls(spark, sf):
+    labelled = spark.createDataFrame(url_filter.LABELLED, "url string, label int")
+    return url_filter.judge(table(spark, sf, "pages"), labelled)
+
+
+@query
+def op3_near_dups(spark, sf):
+    return near_dups.members(table(spark, sf, "documents"))
+
+
+@query
+def op4_quality_rules(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op5_line_dedup(spark, sf):
+    return line_dedup.dedup_lines(table(spark, sf, "documents"))
+
+
+@query
+def op6_secrets(spark, sf):
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
+@query
+def op7_tokens(spark, sf):
+    out = token_counts.count_tokens(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op8_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = quality_model.train(docs, table(spark, sf, "labels"))
+    out = quality_model.scored(docs.select("doc_id", "text"), model)
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), quality_model.held_out("row.doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_mix(spark, sf):
     out = mixing.mix(table(spark, sf, "documents"), keep=["doc_id", "source"])
@@ -27,3 +87,8 @@ def op9_mix(spark, sf):
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"), F.col("row.source").alias("source"), "rate", "copies",
     )
+
+
+@query
+def op10_fingerprints(spark, sf):
+    return fingerprints.compared(table(spark, sf, "documents"))
