@@ -71,16 +71,16 @@ def recommend(runs: DataFrame) -> DataFrame:
     """The fastest, the cheapest and the balanced profile.
 
     Balanced has the least sum of runtime and cost, each in multiples of the best one. Ties go to
-    the smaller name.
+    the smaller name. A profile without a known figure comes after all that have one.
     """
     profiles = profile_costs(runs)
     runtime, cost = F.col("runtime_sec"), F.col("cost_per_1000_rows")
     least = profiles.agg(F.struct(F.min(runtime).alias("runtime"), F.min(cost).alias("cost"))).scalar()
-    both = runtime / least["runtime"] + cost / least["cost"]
+    both = F.try_divide(runtime, least["runtime"]) + F.try_divide(cost, least["cost"])
     row = ("resource_profile", "runtime_sec", "cost_per_1000_rows")
 
     def best(by) -> Column:
-        return F.min_by(F.struct(*row), F.struct(by, F.col("resource_profile")))
+        return F.min_by(F.struct(*row), F.struct(by.isNull(), by, F.col("resource_profile")))
 
     picks = profiles.agg(
         best(runtime).alias("Fastest"), best(cost).alias("Cheapest"), best(both).alias("Balanced")
