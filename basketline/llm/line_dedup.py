@@ -1,8 +1,9 @@
 """Drop lines that repeat an earlier line, or differ from one by a single word; keep the earliest.
 
 A line is its words; lines of fewer than ``MIN_WORDS`` words (blank ones too) always stay. Distinct lines are found first, each with its
-first place (document order key, line number). Every distinct line then emits its deletion variants as hashed keys:
-one for each word left out, with the place of that word (equal keys: one word replaced), and one without it beside the
+first place (document order key, line number). Two lines within one word of each other share their first or their last half
+(cut by the longer one's length), so a line whose halves no other line has is done; the others know on which side a word may
+differ. Each of them emits its deletion variants on that side as hashed keys: one for each word left out, with the place of that word (equal keys: one word replaced), and one without it beside the
 whole line (equal to a variant: one word added). A key keeps only its earliest whole line and earliest variant, so
 that no group is paired out or gathered. A line that some key puts behind an earlier one is held against that one word by
 word before it goes.
@@ -35,27 +36,49 @@ def _pair(a: Column, b: Column, seed: int) -> Column:
     return F.shiftright(F.xxhash64(F.lit(seed), a, b), DROPPED_BITS)
 
 
+def with_shared_half(lines: DataFrame) -> DataFrame:
+    """The lines (line, text, first) that have a half in common with another, and which: head, tail.
+
+    Where the longer of two lines has L words and they differ by one, their common beginning or their common end has
+    ``L // 2`` words or more. A line may be the longer one (L = n), as long, or the shorter one (L = n + 1).
+    """
+    w, n = F.col("_w"), F.size("_w")
+
+    def halves(longer: Column) -> list[Column]:
+        k = F.floor(longer / 2).cast("int")
+        parts = ((True, F.slice(w, F.lit(1), k)), (False, F.slice(w, n - k + 1, k)))
+        return [F.struct(F.xxhash64(F.lit(head), longer, part).alias("half"), F.lit(head).alias("head")) for head, part in parts]
+
+    each = lines.select("line", words_of(F.col("text")).alias("_w")).select("line", F.explode(F.array(*halves(n), *halves(n + 1))).alias("h"))
+    each = each.select("line", "h.*")
+    common = each.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
+    sides = each.join(common, "half").groupBy("line").agg(F.bool_or("head").alias("head"), F.bool_or(~F.col("head")).alias("tail"))
+    return lines.join(sides, "line")
+
+
 def keys(lines: DataFrame) -> DataFrame:
-    """(key, whole, line, first) from (line, first): the variants of every distinct line."""
+    """(key, whole, first) from (text, first, head, tail): the variants of every line on the sides where a word may differ."""
     w = F.col("_p")
-    padded = lines.select("line", "first", F.concat(F.array(F.lit("\n")), words_of(F.col("text")), F.array(F.lit("\n"))).alias("_p"))
+    padded = lines.select("first", "head", "tail", F.concat(F.array(F.lit("\n")), words_of(F.col("text")), F.array(F.lit("\n"))).alias("_p"))
     n = F.size(w) - 2
 
     def total(seed: int) -> Column:
         each = F.zip_with(F.slice(w, F.lit(1), n + 1), F.slice(w, F.lit(2), n + 1), lambda a, b: _pair(a, b, seed))
         return F.aggregate(each, F.lit(0).cast("long"), lambda t, x: t + x).alias(f"_s{seed}")
 
-    rows = padded.select("line", "first", "_p", total(1), total(2))
+    rows = padded.select("first", "head", "tail", "_p", total(1), total(2))
+    half = F.floor(n / 2).cast("int")
+    places = F.filter(F.sequence(F.lit(1), n), lambda i: (F.col("head") & (i > half)) | (F.col("tail") & (i <= n - half)))
     gap = lambda i, s: (
         F.col(f"_s{s}") - _pair(F.get(w, i - 1), F.get(w, i), s) - _pair(F.get(w, i), F.get(w, i + 1), s) + _pair(F.get(w, i - 1), F.get(w, i + 1), s)
     )
     entry = lambda key, whole: F.struct(key.alias("key"), F.lit(whole).alias("whole"))
-    without = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(gap(i, 1).alias("a"), gap(i, 2).alias("b"), i.alias("i")))
+    without = F.transform(places, lambda i: F.struct(gap(i, 1).alias("a"), gap(i, 2).alias("b"), i.alias("i")))
     rows = rows.withColumn("_v", without)
     replaced = F.transform("_v", lambda v: entry(F.xxhash64(v["a"], v["b"], v["i"]), False))
     added = F.array_distinct(F.transform("_v", lambda v: entry(F.xxhash64(v["a"], v["b"]), False)))
     itself = F.array(entry(F.xxhash64("_s1", "_s2"), True))
-    return rows.select("line", "first", F.explode(F.concat(replaced, added, itself)).alias("e")).select("line", "first", "e.*")
+    return rows.select("first", F.explode(F.concat(replaced, added, itself)).alias("e")).select("first", "e.*")
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -75,6 +98,7 @@ def within_one(a: Column, b: Column) -> Column:
 
 def repeated(lines: DataFrame) -> DataFrame:
     """(line) of the distinct lines, given as (line, text, first), that lie within one word of an earlier one."""
+    lines = cut_lineage(with_shared_half(lines))
     made = keys(lines)
     shared = (
         made.groupBy("key")
@@ -86,13 +110,13 @@ def repeated(lines: DataFrame) -> DataFrame:
     shared = cut_lineage(shared)
     # two variants without a place say nothing of each other: such keys count only through their whole line
     met = made.join(shared, "key").select(
-        "line", "first",
+        "first",
         F.when(F.col("whole"), F.col("of_variant")).otherwise(F.least("of_whole", "of_variant")).alias("earlier"),
     )
-    pairs = met.filter("earlier < first").select("line", "earlier").distinct()
-    a = lines.select("line", words_of(F.col("text")).alias("_a"))
+    pairs = met.filter("earlier < first").select("first", "earlier").distinct()
+    a = lines.select("line", "first", words_of(F.col("text")).alias("_a"))
     b = lines.select(F.col("first").alias("earlier"), words_of(F.col("text")).alias("_b"))
-    return pairs.join(a, "line").join(b, "earlier").filter(within_one(F.col("_a"), F.col("_b"))).select("line").distinct()
+    return pairs.join(a, "first").join(b, "earlier").filter(within_one(F.col("_a"), F.col("_b"))).select("line").distinct()
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
