@@ -26,6 +26,8 @@ from basketline.session import cut_lineage
 MIN_WORDS = 5
 #: Pair hashes keep this many bits, so that sums over a line of millions of words fit a long.
 DROPPED_BITS = 22
+#: Kinds of key: a word left out, with its place; the same without; the line itself.
+REPLACED, LEFT_OUT, WHOLE = 0, 1, 2
 
 
 def words_of(line: Column) -> Column:
@@ -57,7 +59,7 @@ def with_shared_half(lines: DataFrame) -> DataFrame:
 
 
 def keys(lines: DataFrame) -> DataFrame:
-    """(key, whole, first) from (text, first, head, tail): the variants of every line on the sides where a word may differ."""
+    """(key, kind, first) from (text, first, head, tail): the variants of every line on the sides where a word may differ."""
     w = F.col("_p")
     padded = lines.select("first", "head", "tail", F.concat(F.array(F.lit("\n")), words_of(F.col("text")), F.array(F.lit("\n"))).alias("_p"))
     n = F.size(w) - 2
@@ -72,12 +74,12 @@ def keys(lines: DataFrame) -> DataFrame:
     gap = lambda i, s: (
         F.col(f"_s{s}") - _pair(F.get(w, i - 1), F.get(w, i), s) - _pair(F.get(w, i), F.get(w, i + 1), s) + _pair(F.get(w, i - 1), F.get(w, i + 1), s)
     )
-    entry = lambda key, whole: F.struct(key.alias("key"), F.lit(whole).alias("whole"))
+    entry = lambda key, kind: F.struct(key.alias("key"), F.lit(kind).cast("tinyint").alias("kind"))
     without = F.transform(places, lambda i: F.struct(gap(i, 1).alias("a"), gap(i, 2).alias("b"), i.alias("i")))
     rows = rows.withColumn("_v", without)
-    replaced = F.transform("_v", lambda v: entry(F.xxhash64(v["a"], v["b"], v["i"]), False))
-    added = F.array_distinct(F.transform("_v", lambda v: entry(F.xxhash64(v["a"], v["b"]), False)))
-    itself = F.array(entry(F.xxhash64("_s1", "_s2"), True))
+    replaced = F.transform("_v", lambda v: entry(F.xxhash64(v["a"], v["b"], v["i"]), REPLACED))
+    added = F.array_distinct(F.transform("_v", lambda v: entry(F.xxhash64(v["a"], v["b"]), LEFT_OUT)))
+    itself = F.array(entry(F.xxhash64("_s1", "_s2"), WHOLE))
     return rows.select("first", F.explode(F.concat(replaced, added, itself)).alias("e")).select("first", "e.*")
 
 
@@ -102,17 +104,16 @@ def repeated(lines: DataFrame) -> DataFrame:
     made = keys(lines)
     shared = (
         made.groupBy("key")
-        .agg(F.min(F.when(F.col("whole"), F.col("first"))).alias("of_whole"), F.min(F.when(~F.col("whole"), F.col("first"))).alias("of_variant"),
-             F.min("first").alias("lo"), F.max("first").alias("hi"), F.count(F.when(F.col("whole"), 1)).alias("n_whole"))
-        .filter("lo < hi")
+        .agg(F.min(F.when(F.col("kind") == WHOLE, F.col("first"))).alias("of_whole"), F.min(F.when(F.col("kind") < WHOLE, F.col("first"))).alias("of_variant"),
+             F.min("first").alias("lo"), F.max("first").alias("hi"), F.max("kind").alias("most"))
+        # variants without a place say nothing of each other: such a key counts only with its whole line
+        .filter(F.col("lo") < F.col("hi")).filter(F.col("most") != LEFT_OUT)
         .select("key", "of_whole", "of_variant")
     )
     shared = cut_lineage(shared)
-    # two variants without a place say nothing of each other: such keys count only through their whole line
     met = made.join(shared, "key").select(
-        "first",
-        F.when(F.col("whole"), F.col("of_variant")).otherwise(F.least("of_whole", "of_variant")).alias("earlier"),
-    )
+        "first", F.when(F.col("kind") == LEFT_OUT, F.col("of_whole")).otherwise(F.col("of_variant")).alias("earlier")
+    )
     pairs = met.filter("earlier < first").select("first", "earlier").distinct()
     a = lines.select("line", "first", words_of(F.col("text")).alias("_a"))
     b = lines.select(F.col("first").alias("earlier"), words_of(F.col("text")).alias("_b"))

@@ -188,6 +188,13 @@ def test_lines(spark):
     assert {r.doc_id: r.text for r in got} == plain_lines(texts)
 
 
+def test_line_held_against_a_whole_line_behind_another_variant(spark):
+    """Lines 1 and 3 both add a word to line 2; line 3 goes for line 2's sake, though line 1 is first under their key."""
+    rows = [(1, "x a b c d e"), (2, "a b c d e"), (3, "a b c d e y"), (4, "a b q d e y"), (5, "no kin of the others")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == [1, 5]
+
+
 def test_near_duplicates(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     of = {r.doc_id: r.class_id for r in near_dups.members(docs).collect()}
