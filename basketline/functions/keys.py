@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,14 +37,9 @@ def md5_unit(*cols) -> Column:
     return md5_word(*cols) / F.lit(4294967296.0)
 
 
-# Cumulative Poisson(1) probabilities of 0..4; anything above counts as 5.
-POISSON_ONE_CUTS = (
-    0.36787944117144233,
-    0.7357588823428847,
-    0.9196986029286058,
-    0.9810118431238462,
-    0.9963401531726563,
-)
+# Cumulative Poisson(1) probabilities of 0..11. The largest 32-bit draw, 1 - 2**-32, lies between those of 11 and 12,
+# so 12 is the largest weight that a draw can reach: the table is whole, not cut.
+POISSON_ONE_CUTS = tuple(math.exp(-1) * math.fsum(1 / math.factorial(j) for j in range(k + 1)) for k in range(12))
 
 
 def poisson_one(u: Column) -> Column:

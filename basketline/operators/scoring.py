@@ -53,11 +53,13 @@ def expected_profit(counts: DataFrame, payoff: Mapping[str, float] = PAYOFF) ->
 
 
 def profit_per_thousand(counts: DataFrame, payoff: Mapping[str, float] = PAYOFF) -> DataFrame:
-    rows = counts.agg(F.sum("row_count")).scalar()
-    return expected_profit(counts, payoff).select(
-        "expected_profit",
+    """``test_count`` is the rows that the profit is made of: those with a label and a prediction."""
+    worth = sum((F.col(cell) * F.lit(value) for cell, value in payoff.items()), F.lit(0)).cast("double")
+    rows = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return _cells(counts).select(
+        worth.alias("expected_profit"),
         rows.alias("test_count"),
-        (F.col("expected_profit") / rows * 1000).alias("profit_per_1000"),
+        (worth / F.nullif(rows, F.lit(0).cast("bigint")) * 1000).alias("profit_per_1000"),
     )
 
 

@@ -59,7 +59,7 @@ STEPS = {
     "dim": """
       SELECT n.n_name AS country, lower(r.r_name) AS region,
         CAST(1 + n.n_regionkey % 3 AS BIGINT) AS shipping_risk_score
-      FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey < 10""",
+      FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "enriched": """
       SELECT k.*, coalesce(d.region, 'unknown') AS region,
         coalesce(d.shipping_risk_score, 3) AS shipping_risk_score
@@ -126,12 +126,12 @@ STEPS = {
       SELECT s.doc_id, s.label, s.score, r.rep,
         CAST('0x' || substr(md5(concat_ws('|', s.doc_id, r.rep)), 1, 8) AS BIGINT) / 4294967296.0 AS u
       FROM scored s, (SELECT unnest(range(0, 60)) AS rep) r""",
+    # a draw counts k for every k whose cumulative probability, e^-1 * (1/0! + ... + 1/k!), it reaches
+    "poisson": """
+      SELECT k, exp(-1) * sum(1.0::DOUBLE / factorial(k)::DOUBLE) OVER (ORDER BY k) AS upto
+      FROM (SELECT CAST(unnest(range(0, 16)) AS INT) AS k)""",
     "weighted": """
-      SELECT rep, label, score, CASE WHEN u < CAST(0.36787944117144233 AS DOUBLE) THEN 0
-        WHEN u < CAST(0.7357588823428847 AS DOUBLE) THEN 1 WHEN u < CAST(0.9196986029286058 AS DOUBLE) THEN 2
-        WHEN u < CAST(0.9810118431238462 AS DOUBLE) THEN 3 WHEN u < CAST(0.9963401531726563 AS DOUBLE) THEN 4
-        ELSE 5 END AS w
-      FROM reps""",
+      SELECT rep, label, score, (SELECT count(*) FROM poisson WHERE poisson.upto <= reps.u) AS w FROM reps""",
     "rep_scores": """
       SELECT rep, score, sum(w * label) AS pos, sum(w * (1 - label)) AS neg
       FROM weighted WHERE w > 0 GROUP BY rep, score""",
@@ -185,7 +185,7 @@ ENRICHED = [*KEPT, "dim", "enriched"]
 BASKETS = [*ENRICHED, "baskets"]
 TIMES = [*BASKETS, "times"]
 SPLIT = [*TIMES, "cuts", "by_time"]
-BOOTSTRAP = ["scored", "reps", "weighted", "rep_scores", "rep_auc"]
+BOOTSTRAP = ["scored", "reps", "poisson", "weighted", "rep_scores", "rep_auc"]
 COSTS = ["runs", "priced", "costs"]
 PROFILES = [*COSTS, "profiles"]
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketline import schemas
 from basketline.ml import models
 from basketline.operators import enrich, labels, metrics, normalize, validate
-from basketline.plans import curate, evaluate, ingest, scaling, train
+from basketline.plans import curate, evaluate, ingest, train
 from basketline.session import checkpoint_dir
 from basketline.sources import lineage, readers, sinks
 from suite import fixtures as fx
@@ -170,13 +170,6 @@ def test_unseen_category_is_scored(spark, store):
     assert models.score(model, features).count() == features.count()
 
 
-def test_scaling(spark, store, tmp_path):
-    features = readers.read_gold(spark, f"{store['gold']}/model_features")
-    table = scaling.scaling(features, str(tmp_path / "scaling"), scaling.CASES[:2] + scaling.CASES[3:4]).collect()
-    strong = [r.strong_efficiency for r in table if r["mode"] == "strong"]
-    assert max(strong) == 1.0 and all(r.strong_efficiency is None for r in table if r["mode"] == "weak")
-
-
 def test_checkpoint_dir_is_the_one_of_the_session(spark):
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from basketline.functions.keys import POISSON_ONE_CUTS
+from basketline.functions.keys import POISSON_ONE_CUTS, poisson_one
 from basketline.operators import bootstrap, evaluation, runcost, sampling, scoring
 
 SCHEMA = "id bigint, label int, score double, pred int"
@@ -112,3 +112,15 @@ def test_run_costs(spark):
     picks = {r.recommendation: r.resource_profile for r in runcost.recommend(
         spark.createDataFrame(rows[:2], schema)).collect()}
     assert picks["Fastest"] == "E8_C4_M16" and picks["Cheapest"] == "E4_C4_M16"
+
+
+def test_poisson_weights_are_not_capped(spark):
+    draws = spark.createDataFrame([(0.0,), (0.9985,), (0.99999,), (1 - 2.0**-32,)], "u double")
+    assert [r[0] for r in draws.select(poisson_one(F.col("u"))).collect()] == [0, 5, 8, 12]
+
+
+def test_profit_and_count_have_one_denominator(spark):
+    rows = spark.createDataFrame([(1, 1), (0, 0), (None, 1), (1, None)], "label int, pred int")
+    row = scoring.profit_per_thousand(scoring.confusion(rows)).first()
+    assert (row.expected_profit, row.test_count, row.profit_per_1000) == (32.0, 2, 16000.0)
+    assert scoring.profit_per_thousand(scoring.confusion(rows.limit(0))).first().profit_per_1000 is None
