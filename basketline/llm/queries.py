@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline.llm import fingerprints, line_dedup, mixing, near_dups, piece_coding, quality_model, quality_rules
-from basketline.llm import secret_scan, token_counts, url_filter
+from basketline.llm import secret_scan, token_counts, topk_search, url_filter
 from basketline.llm.tables import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,20 @@ def op9_mix(spark, sf):
 @query
 def op10_fingerprints(spark, sf):
     return fingerprints.compared(table(spark, sf, "documents"))
+
+
+@query
+def op11_top_k(spark, sf):
+    return topk_search.top_k(table(spark, sf, "embeddings"))
+
+
+ORACLE_SQL["op11_top_k"] = """
+    WITH whole AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+      WHERE vec_id IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+    scores AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.vec, c.vec) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, CAST(place AS INT) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
+    WHERE place <= 5"""
