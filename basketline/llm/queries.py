@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline.llm import fingerprints, line_dedup, mixing, near_dups, piece_coding, quality_model, quality_rules
-from basketline.llm import secret_scan, token_counts, topk_search, url_filter
+from basketline.llm import secret_scan, spelling, token_counts, topk_search, url_filter
 from basketline.llm.tables import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,8 @@ ORACLE_SQL["op11_top_k"] = """
     SELECT query_id, CAST(place AS INT) AS rank, vec_id, score
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
     WHERE place <= 5"""
+
+
+@query
+def op12_spelling(spark, sf):
+    return spelling.grouped(table(spark, sf, "documents"))
