@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketline.llm import fingerprints, line_dedup, mixing, near_dups, piece_coding, quality_model, quality_rules
-from basketline.llm import secret_scan, spelling, token_counts, topk_search, url_filter
+from basketline.llm import divergence, fingerprints, line_dedup, mixing, near_dups, piece_coding, quality_model
+from basketline.llm import quality_rules, secret_scan, spelling, token_counts, topk_search, url_filter
 from basketline.llm.tables import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,40 @@ ORACLE_SQL["op11_top_k"] = """
 @query
 def op12_spelling(spark, sf):
     return spelling.grouped(table(spark, sf, "documents"))
+
+
+@query
+def op13_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+ORACLE_SQL["op13_divergence"] = """
+    WITH texts AS (
+      SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+      FROM documents),
+    found AS (
+      SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM texts),
+    kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM texts),
+    cells AS (
+      SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+      FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    rated AS (
+      SELECT lang, source, term, n,
+        1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER g + 2 * count(*) OVER g) AS p,
+        1 + (1000000000::HUGEINT * (lang_n + 2)) // (sum(lang_n) OVER g + 2 * count(*) OVER g) AS q
+      FROM cells WINDOW g AS (PARTITION BY lang, source)),
+    pairs AS (
+      SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+      FROM rated a JOIN rated b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    parts AS (
+      SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+      FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+      LEFT JOIN pairs ON pairs.lang = g.lang AND pairs.source = g.source AND pairs.item = h.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM rated WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INT) AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM parts)
+    WHERE part = 'pair' OR place <= 10"""
