@@ -20,14 +20,15 @@ def basket_summary(enriched: DataFrame, one_line_per_item: bool = False) -> Data
     were deduplicated on a key made of invoice, item, time and customer; then each item occurs
     once in a group and counting lines replaces the exact distinct count and its extra shuffle.
     A ``copies`` column, if there is one, tells how many rows each line stood for before deduping.
+    Units are wide decimals, which no quantities can overflow; the features hold them within a long's range.
     """
     copies = F.col("copies") if "copies" in enriched.columns else F.lit(1)
     items = F.count("stock_code") if one_line_per_item else F.count_distinct("stock_code")
     return enriched.groupBy(*INVOICE_KEYS).agg(
         *agg.parts(F.col("line_total"), "line_total"),
         *agg.parts(F.col("unit_price"), "unit_price"),
-        F.sum("quantity").alias("net_units"),
-        F.sum(F.abs("quantity")).alias("total_units"),
+        agg.wide_sum(F.col("quantity")).alias("net_units"),
+        agg.wide_sum(F.abs(F.col("quantity").cast("decimal(20,0)"))).alias("total_units"),
         items.alias("unique_items"),
         F.max("is_return").alias("has_return_line"),
         F.sum("is_return").cast("bigint").alias("return_line_count"),
@@ -41,6 +42,7 @@ def basket_features(summary: DataFrame) -> DataFrame:
     return summary.withColumns(
         {
             "invoice_total": agg.total("line_total"),
+            "total_units": agg.as_long(F.col("total_units")),
             "avg_unit_price": agg.mean("unit_price"),
             "is_weekend": calendar.is_weekend(F.col("invoice_ts")),
             "invoice_hour": F.hour("invoice_ts"),

@@ -64,7 +64,7 @@ def dq_metrics(valid: DataFrame) -> DataFrame:
         F.sum("copies").alias("rows_before_dedupe"),
         F.count(F.lit(1)).alias("rows_after_cleaning"),
         *agg.parts(F.col("unit_price"), "unit_price"),
-        F.sum("quantity").alias("net_units"),
+        agg.wide_sum(F.col("quantity")).alias("net_units"),
     )
     return _dq_columns(totals)
 
@@ -75,7 +75,7 @@ def dq_metrics_from_baskets(summary: DataFrame) -> DataFrame:
         F.sum("rows_before_dedupe").alias("rows_before_dedupe"),
         F.sum("line_count").alias("rows_after_cleaning"),
         *agg.merged("unit_price"),
-        F.sum("net_units").alias("net_units"),
+        agg.wide_sum(F.col("net_units")).alias("net_units"),
     )
     return _dq_columns(totals)
 
@@ -88,7 +88,7 @@ def _dq_columns(totals: DataFrame) -> DataFrame:
         "rows_after_cleaning",
         after.alias("unique_transactions"),
         agg.mean("unit_price").alias("avg_unit_price"),
-        (F.col("net_units") / after).alias("avg_quantity"),
+        (F.col("net_units").cast("double") / after).alias("avg_quantity"),
         (1 - after / before).alias("duplicate_ratio"),
     )
 
@@ -101,7 +101,7 @@ def dq_metrics_approx(lines: DataFrame, rsd: float = 0.05) -> DataFrame:
             F.count(F.lit(1)).alias("rows_after_cleaning"),
             F.approx_count_distinct("transaction_id", rsd).alias("unique_transactions"),
             agg.exact_mean(F.col("unit_price")).alias("avg_unit_price"),
-            F.avg("quantity").alias("avg_quantity"),
+            (agg.wide_sum(F.col("quantity")).cast("double") / F.count("quantity")).alias("avg_quantity"),
         )
         .withColumn(
             "duplicate_ratio",
@@ -130,7 +130,7 @@ def place_rollup(invoices: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("invoice_rows"),
             agg.exact_mean(F.col("invoice_total")).alias("avg_invoice_total"),
-            F.avg("total_units").alias("avg_total_units"),
+            (agg.wide_sum(F.col("total_units")).cast("double") / F.count("total_units")).alias("avg_total_units"),
             F.avg("shipping_risk_score").alias("risk"),
         )
         .orderBy(F.desc("invoice_rows"), "region", "country")

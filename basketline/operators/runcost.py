@@ -71,10 +71,13 @@ def recommend(runs: DataFrame) -> DataFrame:
     """The fastest, the cheapest and the balanced profile.
 
     Balanced has the least sum of runtime and cost, each in multiples of the best one. Ties go to
-    the smaller name. A profile without a known figure comes after all that have one.
+    the smaller name. A profile without a known figure, or whose mean runtime is not positive and so was not
+    measured, comes after all others.
     """
     profiles = profile_costs(runs)
-    runtime, cost = F.col("runtime_sec"), F.col("cost_per_1000_rows")
+    measured = F.col("runtime_sec") > 0
+    runtime = F.when(measured, F.col("runtime_sec"))
+    cost = F.when(measured, F.col("cost_per_1000_rows"))
     least = profiles.agg(F.struct(F.min(runtime).alias("runtime"), F.min(cost).alias("cost"))).scalar()
     both = F.try_divide(runtime, least["runtime"]) + F.try_divide(cost, least["cost"])
     row = ("resource_profile", "runtime_sec", "cost_per_1000_rows")

@@ -1,11 +1,18 @@
 """Independent SQL of the registered queries, for DuckDB over the same tables.
 
 Written against the meaning of each query, not against its Spark plan: the shared steps below are
-plain SQL common table expressions. Money is summed in cents, so no order of addition matters.
+plain SQL common table expressions. Doubles are summed exactly, as whole numbers of a power of two
+that is small enough for all their bits, and rounded once.
 """
 
 from __future__ import annotations
 
+
+def exact_sum(c: str, bits: int = 84) -> str:
+    unit = f"CAST({2**bits} AS DOUBLE)"
+    return f"(CAST(sum(CAST({c} * {unit} AS HUGEINT)) AS DOUBLE) / {unit})"
+
+
 STEPS = {
     "raw_lines": """
       SELECT CAST(o.o_orderkey AS VARCHAR) AS invoice_no,
@@ -64,12 +71,12 @@ STEPS = {
       SELECT k.*, coalesce(d.region, 'unknown') AS region,
         coalesce(d.shipping_risk_score, 3) AS shipping_risk_score
       FROM kept k LEFT JOIN dim d ON k.country = d.country""",
-    "baskets": """
+    "baskets": f"""
       SELECT invoice_no, customer_id, country, region, shipping_risk_score, invoice_ts,
-        CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE) AS invoice_total,
+        {exact_sum("line_total")} AS invoice_total,
         CAST(sum(abs(quantity)) AS BIGINT) AS total_units,
         count(DISTINCT stock_code) AS unique_items,
-        CAST(sum(CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_unit_price,
+        {exact_sum("unit_price")} / count(*) AS avg_unit_price,
         max(is_return) AS has_return_line,
         CASE WHEN dayofweek(invoice_ts) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
         CAST(hour(invoice_ts) AS INT) AS invoice_hour,
@@ -82,19 +89,19 @@ STEPS = {
           ORDER BY invoice_ts, invoice_no, country, region, shipping_risk_score)) AS INT)
           AS days_to_next_order
       FROM baskets""",
-    "sales": """
+    "sales": f"""
       SELECT country, region, count(DISTINCT invoice_no) AS invoice_count,
         count(DISTINCT customer_id) AS customer_count,
-        CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE) AS gross_revenue,
-        CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_line_total,
+        {exact_sum("line_total")} AS gross_revenue,
+        {exact_sum("line_total")} / count(*) AS avg_line_total,
         CAST(sum(is_return) AS BIGINT) AS return_line_count,
         CAST(sum(is_return) AS DOUBLE) / greatest(count(DISTINCT invoice_no), 1) AS return_line_ratio,
         CAST(sum(is_return) AS DOUBLE) / count(*) AS return_line_share
       FROM enriched GROUP BY country, region""",
-    "dq": """
+    "dq": f"""
       SELECT country, CAST(sum(copies) AS BIGINT) AS rows_before_dedupe, count(*) AS rows_after_cleaning,
         count(*) AS unique_transactions,
-        CAST(sum(CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_unit_price,
+        {exact_sum("unit_price")} / count(*) AS avg_unit_price,
         CAST(sum(quantity) AS DOUBLE) / count(*) AS avg_quantity,
         1 - CAST(count(*) AS DOUBLE) / CAST(sum(copies) AS DOUBLE) AS duplicate_ratio
       FROM kept GROUP BY country""",
@@ -167,14 +174,14 @@ STEPS = {
         CASE WHEN mode = 'strong' THEN (SELECT min(runtime_sec) FROM runs WHERE mode = 'strong') / runtime_sec
         END AS strong_efficiency
       FROM priced""",
-    "profiles": """
+    "profiles": f"""
       SELECT resource_profile,
-        CAST(sum(CAST(runtime_sec AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS runtime_sec,
-        CAST(sum(CAST(cost_per_1000_rows AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS cost_per_1000_rows
+        {exact_sum("runtime_sec")} / count(*) AS runtime_sec,
+        {exact_sum("cost_per_1000_rows", 100)} / count(*) AS cost_per_1000_rows
       FROM costs GROUP BY resource_profile""",
     "balance": """
-      SELECT *, runtime_sec / (SELECT min(runtime_sec) FROM profiles)
-          + cost_per_1000_rows / (SELECT min(cost_per_1000_rows) FROM profiles) AS balance_score
+      SELECT *, runtime_sec > 0 AS measured, runtime_sec / (SELECT min(runtime_sec) FROM profiles WHERE runtime_sec > 0)
+          + cost_per_1000_rows / (SELECT min(cost_per_1000_rows) FROM profiles WHERE runtime_sec > 0) AS balance_score
       FROM profiles""",
 }
 
@@ -215,7 +222,7 @@ def _index(column: str) -> str:
 
 def _pick(name: str, by: str) -> str:
     return f"""(SELECT '{name}' AS recommendation, resource_profile, runtime_sec, cost_per_1000_rows
-        FROM balance ORDER BY {by}, resource_profile LIMIT 1)"""
+        FROM balance ORDER BY measured DESC, {by}, resource_profile LIMIT 1)"""
 
 
 PROFIT = "30 * tp - 5 * fp - 20 * fn + 2 * tn"
@@ -285,9 +292,9 @@ RULES: dict[str, tuple[list[str], str]] = {
     "dq_metrics_from_baskets": ([*KEPT, "dq"], "SELECT * FROM dq"),
     "dq_kpis": (
         [*KEPT, "dq"],
-        """SELECT CAST(sum(rows_after_cleaning) AS BIGINT) AS rows_after_cleaning,
-          CAST(sum(CAST(duplicate_ratio AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS avg_duplicate_ratio,
-          CAST(sum(CAST(avg_unit_price AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS avg_unit_price
+        f"""SELECT CAST(sum(rows_after_cleaning) AS BIGINT) AS rows_after_cleaning,
+          {exact_sum("duplicate_ratio", 100)} / count(*) AS avg_duplicate_ratio,
+          {exact_sum("avg_unit_price", 100)} / count(*) AS avg_unit_price
           FROM dq""",
     ),
     "dup_anomalies": ([*KEPT, "dq"], "SELECT country, rows_after_cleaning, duplicate_ratio FROM dq"),
@@ -301,16 +308,16 @@ RULES: dict[str, tuple[list[str], str]] = {
     ),
     "region_ranking": (
         ENRICHED,
-        """SELECT region, count(DISTINCT invoice_no) AS invoice_count,
+        f"""SELECT region, count(DISTINCT invoice_no) AS invoice_count,
           count(DISTINCT customer_id) AS customer_count,
-          CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_line_total,
-          CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE) AS gross_revenue
+          {exact_sum("line_total")} / count(*) AS avg_line_total,
+          {exact_sum("line_total")} AS gross_revenue
           FROM enriched GROUP BY region""",
     ),
     "country_rollup_sorted": (
         BASKETS,
-        """SELECT region, country, count(*) AS invoice_rows,
-          CAST(sum(CAST(invoice_total AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_invoice_total,
+        f"""SELECT region, country, count(*) AS invoice_rows,
+          {exact_sum("invoice_total")} / count(*) AS avg_invoice_total,
           CAST(sum(total_units) AS DOUBLE) / count(*) AS avg_total_units,
           CAST(sum(shipping_risk_score) AS DOUBLE) / count(*) AS risk
           FROM baskets GROUP BY region, country""",
