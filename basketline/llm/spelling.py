@@ -31,7 +31,7 @@ from basketline.session import cut_lineage
 
 RUN = re.compile("[a-zÀ-ÿ]+")  # after A-Z are lower-cased
 LEAST_LETTERS, LEAST_TIMES, RATIO, ONE_IN = 6, 5, 5, 199
-SYMBOLS = 6
+SYMBOLS = 8
 KEY_LETTERS = 100_000  # letters whose keys are made at once
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
