@@ -57,21 +57,49 @@ def long_or(c: Column, default: int, is_text: bool = True) -> Column:
 WALL_CLOCK_LAYOUT = "____-__-__ __:__:__"
 
 
-def wall_clock(c: Column, formats: Sequence[str] = ()) -> tuple[Column, Column]:
+# Read besides ISO text unless the caller names others: month first, the time and its seconds optional.
+DATE_FORMATS = ("M/d/yyyy[ H:mm[:ss]]",)
+# What a column is tried on to find its own formats.
+KNOWN_FORMATS = (
+    *DATE_FORMATS,
+    "d/M/yyyy[ H:mm[:ss]]",
+    "d.M.yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "yyyyMMdd[ HHmmss]",
+)
+
+
+def by_pattern(c: Column, pattern: str) -> Column:
+    """The wall-clock time that a text says by a datetime pattern, null where it does not fit.
+
+    Patterns are read as instants only. The text is read as one of UTC and counted from the epoch, so no session zone, nor
+    an hour that it skips or repeats, has a part in it.
+    """
+    instant = F.try_to_timestamp(F.concat(c, F.lit(" +0000")), F.lit(f"{pattern} Z"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=F.unix_seconds(instant))
+
+
+def formats_read(c: Column, formats: Sequence[str] = KNOWN_FORMATS) -> Column:
+    """An aggregate: how many cells of a text column each format reads, of those that are no ISO text."""
+    other = c.try_cast("timestamp_ntz").isNull()
+    return F.array(*[F.count_if(other & by_pattern(c, f).isNotNull()) for f in formats])
+
+
+def wall_clock(c: Column, formats: Sequence[str] = DATE_FORMATS, is_text: bool = True) -> tuple[Column, Column]:
     """(``yyyy-MM-dd HH:mm:ss`` text, timestamp) of a date cell, null when unreadable.
 
-    Sub-seconds are cut. With no ``formats`` ISO text (or a date/time column) is read by a cast,
-    which is cheaper than a pattern parser; otherwise the first pattern that fits wins. Text that
-    already has the layout is passed on, since writing a time out costs more than reading it.
+    Sub-seconds are cut. ISO text (or a date/time column) is read by a cast, which is cheaper than a pattern parser; of the
+    ``formats`` the first that fits wins. Text that already has the layout is passed on, since writing a time
+    out costs more than reading it.
     """
-    if formats:
-        parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
-    else:
-        parsed = c.try_cast("timestamp_ntz")
+    iso = c.try_cast("timestamp_ntz")
     text = c.cast("string")
-    as_is = parsed.isNotNull() & text.like(WALL_CLOCK_LAYOUT) if not formats else F.lit(False)
+    as_is = iso.isNotNull() & text.like(WALL_CLOCK_LAYOUT)
+    parsed = F.coalesce(iso, *[by_pattern(c, f) for f in formats]) if is_text else iso
     written = F.left(parsed.cast("string"), F.lit(19))
     return (
         F.when(as_is, text).otherwise(written),
-        F.when(as_is, parsed).otherwise(written.cast("timestamp_ntz")),
+        F.when(as_is, iso).otherwise(written.cast("timestamp_ntz")),
     )

@@ -36,8 +36,9 @@ SOURCE_COLUMNS = {
     "Country": "country",
 }
 
-# A delimited source is read as text and typed by the normaliser, so a bad cell never fails the read.
-RAW_TEXT = _struct(*[(name, _TEXT) for name in SOURCE_COLUMNS])
+LONG = _LONG
+CORRUPT = "corrupt_record"  # the text of a line that is not made of the cells it should have
+BATCH = "ingest_batch"
 
 NORMALISED = _struct(
     ("invoice_no", _TEXT),
@@ -59,7 +60,17 @@ BRONZE = StructType(
     + _struct(("transaction_id", _TEXT), ("invoice_year", _INT), ("invoice_month", _INT)).fields
 )
 
-QUARANTINE = StructType(NORMALISED.fields + _struct(("validation_reason", _TEXT)).fields)
+# As stored: a batch is a folder.
+BRONZE_STORED = StructType(BRONZE.fields + _struct((BATCH, _TEXT)).fields)
+
+QUARANTINE = StructType(NORMALISED.fields + _struct((CORRUPT, _TEXT), ("validation_reason", _TEXT), (BATCH, _TEXT)).fields)
+
+BATCHES = _struct(
+    ("ingest_batch", _TEXT),
+    ("row_count", _LONG),
+    ("details", MapType(_TEXT, _TEXT)),
+    ("written_at_utc", _TEXT),
+)
 
 COUNTRY_DIM = _struct(("country", _TEXT), ("region", _TEXT), ("shipping_risk_score", _LONG))
 

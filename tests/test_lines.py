@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from basketline.functions import casts
 from basketline.operators import dedupe, enrich, normalize, validate
 from basketline.sources import readers
 
@@ -53,7 +54,9 @@ def test_customer(spark, text, expected):
         ("2010-12-01 08:26:00", "2010-12-01 08:26:00"),
         ("2010-12-01T08:26:00.789", "2010-12-01 08:26:00"),
         ("2010-12-01", "2010-12-01 00:00:00"),
-        ("12/1/2010 8:26", None),
+        ("12/1/2010 8:26", "2010-12-01 08:26:00"),
+        ("2/30/2010 8:26", None),
+        ("13/1/2010", None),
         ("not-a-date", None),
         (None, None),
     ],
@@ -69,6 +72,34 @@ def test_date_pattern(spark):
     assert frame.first().invoice_date == "2010-12-01 08:26:00"
 
 
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    """02:30 of 14 March 2010 does not exist in New York, 01:30 of 7 November is there twice."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    texts = ["3/14/2010 2:30", "11/7/2010 1:30", "2010-03-14 02:30:00"]
+    expected = ["2010-03-14 02:30:00", "2010-11-07 01:30:00", "2010-03-14 02:30:00"]
+    try:
+        for other in ("America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            lines = normalize.normalise(raw(spark, *({"invoice_no": str(i), "invoice_date": t} for i, t in enumerate(texts))))
+            rows = sorted(lines.collect(), key=lambda r: r.invoice_no)
+            assert [r.invoice_date for r in rows] == [str(r.invoice_ts) for r in rows] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_date_formats_are_found_by_what_they_read(spark):
+    def found(*texts):
+        return normalize.date_formats_of(raw(spark, *({"invoice_date": t} for t in texts)))
+
+    month_first, day_first = casts.KNOWN_FORMATS[:2]
+    assert found("3/4/2011 10:00", "13/4/2011", "x", None)[0] == day_first
+    assert found("3/4/2011 10:00:05", "3/13/2011")[0] == month_first
+    assert found("1.2.2011 9:05") == ["d.M.yyyy[ H:mm[:ss]]"] and found("2011-01-02", "n/a") == []
+    lines = raw(spark, {"invoice_date": "3/4/2011"}, {"invoice_date": "13/4/2011 7:05"})
+    typed = normalize.normalise(lines, date_formats=normalize.date_formats_of(lines))
+    assert sorted(r.invoice_date for r in typed.collect()) == ["2011-04-03 00:00:00", "2011-04-13 07:05:00"]
+
+
 def test_text_defaults(spark):
     row = normalize.normalise(
         raw(spark, {"invoice_no": "\t 7 ", "stock_code": None, "description": None, "country": None})
@@ -177,3 +208,85 @@ def test_csv_source(spark, tmp_path):
     assert rows["536365"].description == "HEART, WHITE"
     assert (rows["C536379"].is_return, rows["C536379"].line_total) == (1, -27.5)
     assert normalize.record_cap(lines, 1, "invoice_no").first().invoice_no == "536365"
+
+
+def write(path, header: str, *lines: str):
+    path.write_text("\n".join([header, *lines]) + "\n")
+
+
+HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+
+
+def test_source_is_read_by_each_files_header(spark, tmp_path):
+    """Reordered, extra, padded and repeated columns; every file by its own header."""
+    source = tmp_path / "in put"
+    source.mkdir()
+    write(source / "a.csv", HEADER, "1,A,thing,2,12/1/2010 8:26,2.5,7,France")
+    write(source / "b.csv", "Country,Note,CustomerID,UnitPrice,InvoiceDate,Quantity,Description,StockCode,InvoiceNo",
+          'Japan,"x,y",8,3.5,2010-12-02,4,other,B,2')
+    write(source / "c.csv", "\ufeffInvoiceNo , StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country,Country,",
+          "3,C,third,5,2010-12-03,1.5,9,EIRE,Oz,")
+    (source / "empty.csv").write_text("")
+    lines = normalize.normalise(readers.read_source(spark, str(source)))
+    rows = {r.invoice_no: r for r in lines.collect()}
+    assert {no: (r.stock_code, r.quantity, r.unit_price, r.customer_id, r.country) for no, r in rows.items()} == {
+        "1": ("A", 2, 2.5, "7", "France"), "2": ("B", 4, 3.5, "8", "Japan"), "3": ("C", 5, 1.5, "9", "EIRE")
+    }
+    assert [str(rows[no].invoice_ts.date()) for no in "123"] == ["2010-12-01", "2010-12-02", "2010-12-03"]
+    assert all(r.corrupt_record is None for r in rows.values())
+
+
+def test_source_without_a_column(spark, tmp_path):
+    write(tmp_path / "a.csv", HEADER.replace(",CustomerID", ""), "1,A,thing,2,2010-12-01,2.5,France")
+    with pytest.raises(ValueError, match="no column CustomerID"):
+        readers.read_source(spark, str(tmp_path / "a.csv"))
+    lines = normalize.normalise(readers.read_source(spark, str(tmp_path / "a.csv"), missing="null"))
+    assert [(r.customer_id, r.country) for r in lines.collect()] == [("-1", "France")]
+    (tmp_path / "none.csv").write_text("")
+    assert readers.read_source(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_broken_lines_are_kept_and_rejected(spark, tmp_path, fmt):
+    good = "1,A,thing,2,2010-12-01,2.5,7,France"
+    if fmt == "csv":
+        broken = ["2,B,few", "3,C,thing,2,2010-12-01,2.5,7,France,more,cells"]
+        write(tmp_path / "a", HEADER, good, *broken)
+    else:
+        names, cells = HEADER.split(","), good.split(",")
+        whole = "{" + ", ".join(f'"{n}": "{c}"' for n, c in zip(names, cells, strict=True)) + ', "Extra": 1}'
+        broken = ['{"InvoiceNo": "2", "Sto', "no json"]
+        write(tmp_path / "a", whole, *broken)
+    lines = normalize.normalise(readers.read_source(spark, str(tmp_path / "a"), fmt))
+    valid, rejected = validate.split(lines)
+    assert [r.invoice_no for r in valid.collect()] == ["1"] and "corrupt_record" not in valid.columns
+    kept = {(r.corrupt_record, r[validate.REASON]) for r in rejected.collect()}
+    assert kept == {(text, validate.LINE_CORRUPT) for text in broken}
+    assert {r.reason: r.row_count for r in validate.reason_counts(lines).collect()} == {"valid": 1, "corrupt_record": 2}
+
+
+def test_named_formats_are_mapped_too(spark, tmp_path):
+    path = str(tmp_path / "p")
+    frame = spark.createDataFrame([("x", "7", 3, "A")], "Extra string, InvoiceNo string, Quantity int, StockCode string")
+    frame.write.parquet(path)
+    with pytest.raises(ValueError, match="Description"):
+        readers.read_source(spark, path, "parquet")
+    row = normalize.normalise(readers.read_source(spark, path, "parquet", missing="null")).first()
+    assert (row.invoice_no, row.quantity, row.stock_code, row.country) == ("7", 3, "A", "unknown")
+
+
+@pytest.mark.parametrize("n", [1, 7, 40, 41, 95, 119, 120, 500])
+def test_first_records_are_those_of_a_plain_read(spark, tmp_path, n):
+    """Files of several blocks: the cap takes lines in file order and leaves whole blocks where they are."""
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    lines = [f"{i:04d},A,thing,2,2010-12-01,2.5,7,France" for i in range(120)]
+    write(tmp_path / "a.csv", HEADER, *lines[:40])
+    write(tmp_path / "b.csv", HEADER, *lines[40:])
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500b")
+        capped = readers.read_source(spark, str(tmp_path), max_records=n)
+        assert sorted(r.invoice_no for r in capped.collect()) == [line[:4] for line in lines[:n]]
+        if n == 500:
+            assert capped.rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)

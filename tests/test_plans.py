@@ -80,7 +80,67 @@ def test_numeric_looking_country_stays_text(spark, tmp_path):
     sinks.write_bronze(lines, str(tmp_path / "b"))
     assert readers.read_bronze(spark, str(tmp_path / "b")).first().country == "01"
     sinks.write_bronze(lines, str(tmp_path / "b"))
-    assert readers.read_bronze(spark, str(tmp_path / "b")).count() == 2  # no batch id: rows are appended
+    assert readers.read_bronze(spark, str(tmp_path / "b")).count() == 1  # the same rows are the same batch
+
+
+def source_file(path, *lines: str):
+    header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+    path.write_text("\n".join([header, *lines]) + "\n")
+
+
+def test_a_repeated_ingest_replaces_its_batch(spark, tmp_path):
+    """Without any argument: the batch is that of the files read. Other batches stay and are read as one table."""
+    bronze, quarantine = str(tmp_path / "bronze"), str(tmp_path / "quarantine")
+
+    def run(name):
+        return ingest.ingest(readers.read_source(spark, str(tmp_path / name)), bronze, quarantine)
+
+    def stored():
+        rows = readers.read_bronze(spark, bronze).select("invoice_no", "country").collect()
+        return sorted(map(tuple, rows)), spark.read.schema(schemas.QUARANTINE).parquet(quarantine).count()
+
+    source_file(tmp_path / "a.csv", "1,A,x,2,2010-12-01,2.5,7,France", "2,B,x,2,2010-12-01,2.5,7,Japan", "3,C,x,0,2010-12-01,2.5,7,EIRE")
+    source_file(tmp_path / "b.csv", "4,D,x,2,2011-12-01,2.5,7,France", "5,E", "6,F,x,1,nil,1,1,Oz")
+    for _ in range(2):
+        counts = run("a.csv")
+        assert (counts.valid, counts.rejected, counts.reasons) == (2, 1, {"quantity_zero": 1})
+        assert stored() == ([("1", "France"), ("2", "Japan")], 1)
+    for _ in range(2):
+        assert run("b.csv").reasons == {"corrupt_record": 1, "invoice_date_invalid": 1}
+        assert stored() == ([("1", "France"), ("2", "Japan"), ("4", "France")], 3)
+    # a file that changed is still its batch: partitions that it has no rows for any more are gone with it
+    source_file(tmp_path / "a.csv", "1,A,x,2,2010-12-01,2.5,7,France")
+    assert run("a.csv").total == 1 and stored() == ([("1", "France"), ("4", "France")], 2)
+
+    known = {r.ingest_batch: r for r in sinks.batches(spark, bronze).collect()}
+    assert sorted(r.row_count for r in known.values()) == [1, 1]
+    assert {r.details["corrupt_record"] for r in sinks.batches(spark, quarantine).collect()} == {"0", "1"}
+    one = readers.read_bronze(spark, bronze, batches=[sinks.batch_of(readers.read_source(spark, str(tmp_path / "b.csv")))])
+    assert [r.invoice_no for r in one.collect()] == ["4"]
+
+
+def test_ingest_of_nothing(spark, tmp_path):
+    source_file(tmp_path / "a.csv")
+    paths = str(tmp_path / "bronze"), str(tmp_path / "quarantine")
+    assert ingest.ingest(readers.read_source(spark, str(tmp_path / "a.csv")), *paths).total == 0
+    assert readers.read_bronze(spark, paths[0]).count() == 0
+
+
+def test_ingest_reads_its_source_twice(spark, tmp_path):
+    """Once for each of the two writes: rows are counted in what was written."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    source_file(tmp_path / "a.csv", "1,A,x,2,2010-12-01,2.5,7,France", "3,C,x,0,2010-12-01,2.5,7,EIRE")
+    raw = readers.read_source(spark, str(tmp_path / "a.csv"))
+    watched = raw.mapInArrow(counted, raw.schema)
+    counts = ingest.ingest(watched, str(tmp_path / "bronze"), str(tmp_path / "quarantine"))
+    assert (counts.valid, counts.rejected, reads.value) == (1, 1, 2)
+    detected = ingest.ingest(watched, str(tmp_path / "bronze"), str(tmp_path / "quarantine"), date_formats="detect")
+    assert detected == counts and reads.value == 5
 
 
 def test_curate_equals_operators(spark, sf_dir, store):
@@ -106,7 +166,6 @@ def test_layout_options(spark, tmp_path):
     sinks.write_table(df, str(tmp_path / "t"), 4, ["k"])
     assert readers.read_gold(spark, str(tmp_path / "t")).count() == 100
     sinks.write_single_file(df, str(tmp_path / "s"))
-    assert sinks.written_rows(df, str(tmp_path / "s")) == 100
     assert len(list((tmp_path / "s").glob("part-*.parquet"))) == 1
     with pytest.raises(ZeroDivisionError), sinks.persisted(df) as (kept,):
         assert kept.count() == 100 and kept.is_cached
