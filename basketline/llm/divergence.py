@@ -122,8 +122,7 @@ def _pair(left: pa.Table, right: pa.Table) -> pa.Table:
     sides = []
     for side in (left, right):
         whole = side["total"][0].as_py() + 2 * side["v"][0].as_py()
-        entries = side["entries"].combine_chunks().flatten()
-        ids, n = entries.field("id").to_numpy(), entries.field("n").to_numpy()
+        ids, n = (side[c].combine_chunks().flatten().to_numpy() for c in ("ids", "counts"))
         sides += [ids, rates(n, whole), int(rates(np.zeros(1, np.int64), whole)[0])]
     value = merged(*sides, left["terms"][0].as_py())
     names = ("lang", "a", "b")
@@ -161,10 +160,13 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, slice_s
     # a language without kept terms has one slice without terms
     slices = langs.select("lang", "v").join(numbers.groupBy("lang", "slice").agg(F.count("*").alias("terms")), "lang", "left")
     slices = slices.na.fill(0, ["slice", "terms"]).filter("v > 0")
-    empty = F.array().cast("array<struct<id:int,n:bigint>>")
     listed = entries.groupBy("lang", "source", "slice").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("entries"))
+    # two plain arrays take a third of the room of one of pairs
+    listed = listed.select("lang", "source", "slice", F.col("entries.id").alias("ids"), F.col("entries.n").alias("counts"))
     arrays = groups.select("lang", "source", "total", "v").join(slices.drop("v"), "lang")
-    arrays = cut_lineage(arrays.join(listed, ["lang", "source", "slice"], "left").withColumn("entries", F.coalesce("entries", empty)))
+    arrays = arrays.join(listed, ["lang", "source", "slice"], "left")
+    none_here = {"ids": F.array().cast("array<int>"), "counts": F.array().cast("array<bigint>")}
+    arrays = cut_lineage(arrays.withColumns({c: F.coalesce(c, empty) for c, empty in none_here.items()}))
     bare = groups.filter("v = 0").select("lang", F.col("source").alias("a"))
     none = bare.join(bare.withColumnRenamed("a", "b"), "lang").filter("a < b").withColumn("value", F.lit(0).cast("long"))
     pairs = cut_lineage(pair_values(groups.select("lang", "source"), arrays).unionByName(none))
