@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketline.functions import keys
 from basketline.operators.normalize import UNKNOWN
 from basketline.schemas import COUNTRY_DIM
 
+log = logging.getLogger(__name__)
+
 JoinStrategy = Literal["auto", "broadcast", "merge"]
 
 DEFAULT_REGION = UNKNOWN
 DEFAULT_RISK = 3
 BROADCAST_ROW_LIMIT = 100_000
-SALT_BUCKETS = 16
 # Enough to tell lines apart; hashing every column would keep every column in the scan.
 SALT_COLUMNS = ("transaction_id", "invoice_no", "stock_code")
 
@@ -49,33 +50,64 @@ def small_enough(dim: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
     return dim.limit(row_limit + 1).count() <= row_limit
 
 
+def effective(strategy: JoinStrategy, dim: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> JoinStrategy:
+    """The strategy that will be used: a broadcast of too large a dimension becomes a merge join, with a warning."""
+    if strategy not in ("auto", "broadcast", "merge"):
+        raise ValueError(f"unknown join strategy: {strategy}")
+    if strategy == "broadcast" and not small_enough(dim, row_limit):
+        log.warning("the dimension has more than %d rows: merge join instead of broadcast", row_limit)
+        return "merge"
+    return strategy
+
+
+def heavy_keys(keys_of: DataFrame, tasks: int, key: str = "country") -> DataFrame:
+    """(key, salts) of the keys with more than one task's share of the rows, and how many shares that is.
+
+    Counted over all rows, folded before the shuffle. There are fewer such keys than ``tasks``, which bounds their broadcast.
+    """
+    counts = keys_of.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    shares = F.col("n") * tasks / counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("salts", F.ceil(shares).cast("int")).filter("salts > 1").select(key, "salts")
+
+
+def _merged(lines: DataFrame, dim: DataFrame, measured: DataFrame, tasks: int) -> DataFrame:
+    heavy = F.broadcast(heavy_keys(measured, tasks))
+    spread = [c for c in SALT_COLUMNS if c in lines.columns] or [c for c in lines.columns if c != "country"]
+    # lines without a country match nothing; they are spread over all tasks, so as not to meet in one
+    salts = F.when(F.col("country").isNull(), tasks).otherwise(F.coalesce("salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(*spread), salts).cast("int").alias("salt")
+    salted = lines.join(heavy, "country", "left").select(*lines.columns, salt)
+    copies = dim.join(heavy, "country", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    )
+    return salted.join(copies.drop("salts").hint("merge"), ["country", "salt"], "left").drop("salt")
+
+
 def enrich(
     lines: DataFrame,
     dim: DataFrame,
     strategy: JoinStrategy = "auto",
     row_limit: int = BROADCAST_ROW_LIMIT,
-    salt_buckets: int = SALT_BUCKETS,
+    measured: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Left join of a dimension with unique ``country``; unmatched rows get the defaults.
 
     ``auto`` leaves the choice to Catalyst and AQE, which know the sizes. ``broadcast`` asks for
-    a broadcast, but only after counting the dimension; a larger one goes the ``merge`` way.
-    ``merge`` is a sort-merge join on (country, salt): most rows may be of one country, and the
-    salt spreads them over ``salt_buckets`` tasks at the price of as many copies of the dimension.
+    a broadcast, but only after counting the dimension; a larger one goes the ``merge`` way (see ``effective``).
+    ``merge`` is a sort-merge join in which a country with more than one task's share of the lines is cut into as many
+    salted shares, and the dimension copied for such countries only. The shares are counted on ``measured``, any frame
+    with the lines' countries, such as the table that they come from (default: the lines themselves);
+    ``tasks`` defaults to the session's shuffle partitions.
     """
     dim = dim.select("country", "region", "shipping_risk_score")
-    if strategy == "broadcast" and not small_enough(dim, row_limit):
-        strategy = "merge"
+    strategy = effective(strategy, dim, row_limit)
     if strategy == "broadcast":
         joined = lines.join(F.broadcast(dim), "country", "left")
     elif strategy == "merge":
-        spread = [c for c in SALT_COLUMNS if c in lines.columns] or [c for c in lines.columns if c != "country"]
-        salted = lines.withColumn("salt", keys.fast_bucket(*spread, buckets=salt_buckets).cast("int"))
-        copies = dim.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        joined = salted.join(copies.hint("merge"), ["country", "salt"], "left").drop("salt")
-    elif strategy == "auto":
-        joined = lines.join(dim, "country", "left")
+        tasks = tasks or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        joined = _merged(lines, dim, lines if measured is None else measured, tasks)
     else:
-        raise ValueError(f"unknown join strategy: {strategy}")
+        joined = lines.join(dim, "country", "left")
     filled = joined.fillna({"region": DEFAULT_REGION, "shipping_risk_score": DEFAULT_RISK})
     return filled.select(*lines.columns, "region", "shipping_risk_score")

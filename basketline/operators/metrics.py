@@ -10,6 +10,7 @@ from basketline.functions import calendar, ratios
 from basketline.operators.dedupe import dedupe
 
 PLACE = ("country", "region")
+LG_K = 12  # hashes that a distinct sketch keeps, as a power of two
 
 
 def sales_metrics_from_baskets(summary: DataFrame) -> DataFrame:
@@ -110,6 +111,50 @@ def dq_metrics_approx(lines: DataFrame, rsd: float = 0.05) -> DataFrame:
     )
 
 
+def dq_sketches(lines: DataFrame, lg_k: int = LG_K) -> DataFrame:
+    """Per day and country what ``dq_metrics_from_sketches`` needs, to be stored: counts, sums and a distinct sketch.
+
+    The sketch keeps the smallest hashes of a day's transactions, at most some thousands whatever their number, and a day
+    is added without a look at the others. (A register sketch is smaller, but its united estimate depends on the order
+    of the union.)
+    """
+    return lines.groupBy(F.to_date("invoice_ts").alias("day"), "country").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.theta_sketch_agg("transaction_id", lg_k).alias("transactions"),
+        *agg.parts(F.col("unit_price"), "unit_price"),
+        agg.wide_sum(F.col("quantity")).alias("net_units"),
+    )
+
+
+def dq_metrics_from_sketches(sketches: DataFrame) -> DataFrame:
+    """``dq_metrics_approx`` of any set of ``dq_sketches`` rows, days or countries left out as one likes.
+
+    Sketches are united, never added: a transaction that occurs on two days counts once. The relative standard
+    error is ``sketch_error(lg_k)``, and nothing up to ``2**lg_k`` transactions. The same lines give the same figures, however
+    they were cut into sketches.
+    """
+    merged = sketches.groupBy("country").agg(
+        F.sum("line_count").alias("rows_after_cleaning"),
+        F.theta_sketch_estimate(F.theta_union_agg("transactions")).alias("unique_transactions"),
+        *agg.merged("unit_price"),
+        agg.wide_sum(F.col("net_units")).alias("net_units"),
+    )
+    rows = F.col("rows_after_cleaning")
+    return merged.select(
+        "country",
+        "rows_after_cleaning",
+        "unique_transactions",
+        agg.mean("unit_price").alias("avg_unit_price"),
+        (F.col("net_units").cast("double") / rows).alias("avg_quantity"),
+        F.greatest(F.lit(0.0), 1 - F.col("unique_transactions") / rows).alias("duplicate_ratio"),
+    )
+
+
+def sketch_error(lg_k: int = LG_K) -> float:
+    """Relative standard error of a distinct sketch of ``2**lg_k`` hashes."""
+    return (2**lg_k - 1) ** -0.5
+
+
 def weekly_returns(lines: DataFrame) -> DataFrame:
     """Return lines per country and week (weeks start on Monday)."""
     week = calendar.week_start(F.col("invoice_ts")).alias("week_start")

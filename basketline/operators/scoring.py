@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,61 +63,71 @@ def profit_per_thousand(counts: DataFrame, payoff: Mapping[str, float] = PAYOFF)
     )
 
 
-def score_counts(
-    df: DataFrame, label: str, score: str, by: tuple[str, ...] = (), weight: Column | None = None
-) -> DataFrame:
-    """Positives and negatives per distinct score: all the rank statistics need."""
-    weight = F.lit(1) if weight is None else weight
-    return (
-        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).alias("score"))
-        .agg(
-            F.sum(F.when(F.col(label) == 1, weight).otherwise(0)).alias("pos"),
-            F.sum(F.when(F.col(label) == 1, 0).otherwise(weight)).alias("neg"),
-        )
+SLICES = 64
+
+
+def _slice_of(score: Column, bounds: Column, low: int = 0, high: int = SLICES - 1) -> Column:
+    """In which slice a score lies: a search in sorted bounds, six comparisons deep."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(score <= bounds[middle], _slice_of(score, bounds, low, middle)).otherwise(
+        _slice_of(score, bounds, middle + 1, high)
     )
 
 
-def auc_of_counts(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Exact area under the ROC curve from ``score_counts``, ties counting one half.
+def weighted_aucs(
+    df: DataFrame, weights: Sequence[Column], label: str = "label", score: str = "score"
+) -> DataFrame:
+    """(rep, auc): the exact area under the ROC curve by each of the whole-number weights, ties counting one half.
 
     A model gives nearly as many scores as rows, so one running total over all of them would be
-    one task. The scores are range-partitioned; a running total inside each slice gives the pairs
-    within it, and a second running total over the slices, of which there are as many as shuffle
-    partitions, adds the pairs across slices. Twice the pair count is an integer, so the result
-    does not depend on the order of additions. Null when one class is missing.
+    one task. A quantile sketch of the scores gives bounds that cut them into slices. Rows are folded to one per score
+    before they are shuffled, so a score that many rows share is one row, and all weights travel in it as a vector; they are
+    laid out only where their slice is. A running total inside each slice gives the
+    pairs within it, and a second one over the ``SLICES`` slices adds the pairs across: three exchanges, however many
+    weights there are. Twice the pair count is an integer, so the
+    result does not depend on the order of additions. Null when one class is missing.
     """
+    n = range(len(weights))
+    rows = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
+        F.col(score).alias("score"), (F.col(label) == 1).alias("hit"), *[w.alias(f"w{i}") for i, w in enumerate(weights)]
+    )
+    at = F.array(*[F.lit((i + 1) / SLICES) for i in range(SLICES - 1)])
+    bounds = rows.agg(F.percentile_approx("score", at, 10 * SLICES)).scalar()
+
+    def summed(name: str, counted: Column) -> list[Column]:
+        return [F.coalesce(F.sum(F.when(counted, F.col(f"w{i}"))), F.lit(0)).alias(f"{name}{i}") for i in n]
+
+    folded = rows.groupBy(_slice_of(F.col("score"), bounds).alias("slice"), "score").agg(
+        *summed("pos", F.col("hit")), *summed("neg", ~F.col("hit"))
+    )
+    laid_out = F.array(*[F.struct(F.lit(i).alias("rep"), F.col(f"pos{i}").alias("pos"), F.col(f"neg{i}").alias("neg")) for i in n])
+    counts = folded.repartition("slice").select("slice", "score", F.inline(laid_out))
     pos, neg = F.col("pos").cast(_COUNT), F.col("neg").cast(_COUNT)
     earlier = (Window.unboundedPreceding, -1)
-    in_slice = Window.partitionBy(*by, "slice").orderBy("score").rowsBetween(*earlier)
-    across = Window.partitionBy(*by).orderBy("lowest").rowsBetween(*earlier)
+    in_slice = Window.partitionBy("slice", "rep").orderBy("score").rowsBetween(*earlier)
+    across = Window.partitionBy("rep").orderBy("slice").rowsBetween(*earlier)
 
-    def before(c: str, window) -> Column:
-        return F.coalesce(F.sum(c).over(window), F.lit(0)).cast(_COUNT)
+    def before(window) -> Column:
+        return F.coalesce(F.sum("neg").over(window), F.lit(0)).cast(_COUNT)
 
     slices = (
-        counts.repartitionByRange("score")
-        .withColumn("slice", F.spark_partition_id())
-        .withColumn("neg_before", before("neg", in_slice))
-        .groupBy(*by, "slice")
-        .agg(
-            F.min("score").alias("lowest"),
-            F.sum(pos * (2 * F.col("neg_before") + neg)).alias("pairs"),
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-        )
+        counts.withColumn("before", before(in_slice))
+        .groupBy("slice", "rep")
+        .agg(F.sum(pos * (2 * F.col("before") + neg)).alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
-    return (
-        slices.withColumn("neg_before", before("neg", across))
-        .groupBy(*by)
+    sums = (
+        slices.withColumn("before", before(across))
+        .groupBy("rep")
         .agg(
-            F.sum(F.col("pairs") + pos * 2 * F.col("neg_before")).cast("double").alias("pairs"),
+            F.sum(F.col("pairs") + pos * 2 * F.col("before")).cast("double").alias("pairs"),
             F.sum("pos").cast("double").alias("pos"),
             F.sum("neg").cast("double").alias("neg"),
         )
-        .select(*by, (F.col("pairs") / F.nullif(2 * F.col("pos") * F.col("neg"), F.lit(0.0))).alias("auc"))
     )
+    return sums.select("rep", (F.col("pairs") / F.nullif(2 * F.col("pos") * F.col("neg"), F.lit(0.0))).alias("auc"))
 
 
 def rank_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    return auc_of_counts(score_counts(df, label, score))
+    return weighted_aucs(df, [F.lit(1)], label, score).agg(F.max("auc").alias("auc"))

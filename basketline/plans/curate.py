@@ -44,7 +44,12 @@ def curated_lines(
     """
     if columns is not None:
         bronze = bronze.select(*dict.fromkeys(["transaction_id", *dedupe.SURVIVOR_ORDER, *columns]))
-    return enrich.enrich(clean_lines(bronze), dim, strategy)
+    return enrich.enrich(clean_lines(bronze), dim, strategy, measured=_countries(bronze))
+
+
+def _countries(bronze: DataFrame) -> DataFrame:
+    """What the merge join measures: the country alone, which a bronze table holds in its folder names."""
+    return enrich.repair_country(bronze.select("country"))
 
 
 def basket_summary(bronze: DataFrame, dim: DataFrame, strategy: enrich.JoinStrategy = "auto") -> DataFrame:
@@ -54,7 +59,8 @@ def basket_summary(bronze: DataFrame, dim: DataFrame, strategy: enrich.JoinStrat
     once per invoice group and a plain count gives the distinct items.
     """
     lines = clean_lines(bronze.select(*LINE_COLUMNS), copies="copies")
-    return invoices.basket_summary(enrich.enrich(lines, dim, strategy), one_line_per_item=True)
+    joined = enrich.enrich(lines, dim, strategy, measured=_countries(bronze))
+    return invoices.basket_summary(joined, one_line_per_item=True)
 
 
 def curate(
@@ -77,6 +83,7 @@ def curate(
     with lineage.recorded(spark, log_path, "curate", source_name, gold_path) as run:
         started = time.perf_counter()
         dim = enrich.country_dim(spark) if dim is None else dim
+        strategy = enrich.effective(strategy, dim)
         summary_path = f"{gold_path}/basket_summary"
         sinks.write_table(basket_summary(bronze, dim, strategy), summary_path)
         summary = readers.read_gold(spark, summary_path)

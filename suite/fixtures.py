@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from basketline.functions import keys
 from basketline.operators import enrich, normalize, validate
 from basketline.plans import curate
+from basketline.schemas import SOURCE_COLUMNS
+from basketline.sources import lineage
 
 INGESTED_AT = "2024-01-01T00:00:00Z"
 
@@ -55,6 +57,14 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines under the names of a source sheet, in another order and with a column that nobody knows."""
+    lines = raw_lines(spark, sf_dir)
+    names = {ours: source for source, ours in SOURCE_COLUMNS.items()}
+    renamed = [F.col(c).alias(names[c]) for c in reversed(lines.columns)]
+    return lines.select(F.lit("x").alias("Remark"), *renamed)
+
+
 def normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalise(raw_lines(spark, sf_dir), INGESTED_AT)
 
@@ -123,3 +133,20 @@ def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("score"),
         (F.col("o_totalprice") >= 200000).cast("int").alias("pred"),
     )
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a lineage log: a pipeline per event type, a join mode per user, a failure where the value is below 10."""
+    events = table(spark, sf_dir, "events")
+    failed = F.when(F.col("value") < 10, lineage.FAILED).otherwise("")
+    return events.select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp_utc"),
+        F.concat("event_type", failed).alias("pipeline_name"),
+        F.lit("in").alias("input_path"),
+        F.concat(F.lit("out/"), F.col("event_id").cast("string")).alias("output_path"),
+        F.col("event_id").alias("row_count"),
+        F.create_map(
+            F.lit("join_mode"), F.when(F.col("user_id") % 2 == 0, "broadcast").otherwise("merge"),
+            F.lit("runtime_sec"), F.col("value").cast("string"),
+        ).alias("extra"),
+    )

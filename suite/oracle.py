@@ -185,6 +185,13 @@ STEPS = {
       FROM profiles""",
 }
 
+STEPS["run_log"] = """
+      SELECT event_type AS run_name, event_type || CASE WHEN value < 10 THEN '_failed' ELSE '' END AS pipeline_name,
+        value < 10 AS failed, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp_utc, 'in' AS input_path,
+        'out/' || event_id AS output_path, event_id AS row_count, value,
+        CASE WHEN user_id % 2 = 0 THEN 'broadcast' ELSE 'merge' END AS join_mode
+      FROM events"""
+
 LINES = ["raw_lines", "norm"]
 VALID = [*LINES, "judged", "valid"]
 KEPT = [*VALID, "kept"]
@@ -228,6 +235,20 @@ def _pick(name: str, by: str) -> str:
 PROFIT = "30 * tp - 5 * fp - 20 * fn + 2 * tn"
 RULES: dict[str, tuple[list[str], str]] = {
     "normalize_lines": (LINES, "SELECT * FROM norm"),
+    "source_columns": (["raw_lines"], "SELECT * FROM raw_lines"),
+    "month_first_dates": (
+        [],
+        """SELECT o_orderkey, strftime(moment, '%Y-%m-%d %H:%M:%S') AS text, moment AS time
+          FROM (SELECT o_orderkey, CAST(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT)) AS TIMESTAMP) AS moment
+            FROM orders)""",
+    ),
+    "date_formats": (
+        [],
+        """SELECT 'M/d/yyyy[ H:mm[:ss]]' AS date_format, count(*) FILTER (day(o_orderdate) <= 12) AS cells FROM orders
+          UNION ALL SELECT 'd/M/yyyy[ H:mm[:ss]]', count(*) FROM orders
+          UNION ALL SELECT unnest(['d.M.yyyy[ H:mm[:ss]]', 'yyyy/M/d[ H:mm[:ss]]', 'd-MMM-yyyy[ H:mm[:ss]]',
+            'yyyyMMdd[ HHmmss]']), 0""",
+    ),
     "record_cap": (
         LINES,
         """SELECT * FROM norm ORDER BY invoice_no, stock_code, description, quantity,
@@ -297,6 +318,16 @@ RULES: dict[str, tuple[list[str], str]] = {
           {exact_sum("avg_unit_price", 100)} / count(*) AS avg_unit_price
           FROM dq""",
     ),
+    "distinct_sketch_flags": (
+        VALID,
+        """SELECT country, count(*) AS row_count, true AS within_error, true AS equals_one_pass
+          FROM valid GROUP BY country""",
+    ),
+    "dq_approx_flags": (
+        VALID,
+        f"""SELECT country, count(*) AS rows_after_cleaning, {exact_sum("unit_price")} / count(*) AS avg_unit_price,
+          true AS within_error FROM valid GROUP BY country""",
+    ),
     "dup_anomalies": ([*KEPT, "dq"], "SELECT country, rows_after_cleaning, duplicate_ratio FROM dq"),
     "country_quality": ([*KEPT, "dq"], "SELECT country, rows_after_cleaning FROM dq"),
     "weekly_returns": (
@@ -326,6 +357,18 @@ RULES: dict[str, tuple[list[str], str]] = {
     "temporal_split_exact": (SPLIT, "SELECT * FROM by_time"),
     "split_counts": (SPLIT, "SELECT split, count(*) AS row_count FROM by_time GROUP BY split"),
     "union_train_valid": (SPLIT, "SELECT * EXCLUDE (split) FROM by_time WHERE split IN ('train', 'valid')"),
+    "approx_cut_flags": (
+        [],
+        """SELECT mode, cut_name, true AS within_error FROM (SELECT unnest(['one pass', 'stored sketches']) AS mode),
+          (SELECT unnest(['q70', 'q85']) AS cut_name)""",
+    ),
+    "draw_flags": (
+        [*BASKETS, "scored"],
+        """SELECT draw, n AS table_rows, true AS fair_size, true AS rows_of_table
+          FROM (SELECT unnest(['bernoulli', 'stratified', 'hash train', 'hash test']) AS draw,
+              (SELECT count(*) FROM baskets) AS n
+            UNION ALL SELECT 'poisson', (SELECT count(*) FROM scored))""",
+    ),
     "hash_split_md5": (
         TIMES,
         f"""SELECT *, CASE WHEN split_id < 70 THEN 'train' WHEN split_id < 85 THEN 'valid' ELSE 'test' END
@@ -364,6 +407,32 @@ RULES: dict[str, tuple[list[str], str]] = {
           UNION ALL SELECT 'expected_profit', {PROFIT} FROM cells
           UNION ALL SELECT 'test_count', CAST(count(*) AS DOUBLE) FROM scored""",
     ),
+    "feature_vectors": (
+        BASKETS,
+        """SELECT invoice_no, customer_id, invoice_ts, invoice_total, CAST(total_units AS DOUBLE) AS total_units,
+          CAST(unique_items AS DOUBLE) AS unique_items, avg_unit_price,
+          CAST(has_return_line AS DOUBLE) AS has_return_line, CAST(is_weekend AS DOUBLE) AS is_weekend,
+          CAST(invoice_hour AS DOUBLE) AS invoice_hour, CAST(shipping_risk_score AS DOUBLE) AS shipping_risk_score,
+          CAST(2 AS DOUBLE) AS slots_set FROM baskets""",
+    ),
+    "reloaded_scores_flags": (
+        SPLIT,
+        """SELECT count(*) AS test_rows, true AS same_scores, true AS sound FROM by_time WHERE split = 'test'""",
+    ),
+    "run_log_health": (
+        ["run_log"],
+        "SELECT run_name, count(*) AS runs, count(*) FILTER (failed) AS failures FROM run_log GROUP BY run_name",
+    ),
+    "run_log_latest": (
+        ["run_log"],
+        """SELECT * EXCLUDE (value, join_mode, place) FROM (SELECT *, row_number() OVER (PARTITION BY run_name
+            ORDER BY timestamp_utc DESC, pipeline_name DESC) AS place FROM run_log) WHERE place = 1""",
+    ),
+    "run_log_join_modes": (
+        ["run_log"],
+        f"""SELECT join_mode, count(*) AS runs, {exact_sum("value")} / count(*) AS avg_runtime_sec,
+          min(value) AS min_runtime_sec FROM run_log GROUP BY join_mode""",
+    ),
     "run_cost": (COSTS, "SELECT * FROM costs"),
     "profile_costs": (PROFILES, "SELECT * FROM profiles"),
     "run_recommendation": (
@@ -389,7 +458,7 @@ RULES: dict[str, tuple[list[str], str]] = {
 def sql(name: str) -> str:
     steps, final = RULES[name]
     ctes = ", ".join(f"{step} AS ({STEPS[step]})" for step in dict.fromkeys(steps))
-    return f"WITH {ctes} {final}"
+    return f"WITH {ctes} {final}" if steps else final
 
 
 ORACLE_SQL = {name: sql(name) for name in RULES}

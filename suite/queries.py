@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketline.functions import casts
 from basketline.ml import models, signals
 from basketline.operators import (
     bootstrap,
@@ -26,6 +30,8 @@ from basketline.operators import (
     validate,
 )
 from basketline.plans import train
+from basketline.session import checkpoint_dir
+from basketline.sources import lineage
 from suite import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +39,6 @@ QUERIES: dict[str, Query] = {}
 
 ML_HORIZON = 180  # days; at 30 the fixture has too few repeats for trees to find a split
 ML_LABEL = f"target_repeat_{ML_HORIZON}d"
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 5}
 
 
 def query(f: Query) -> Query:
@@ -49,6 +54,31 @@ def normalize_lines(spark, sf):
     return fx.normalised(spark, sf)
 
 
+@query
+def source_columns(spark, sf):
+    """Source names to ours, whatever their order; the others are dropped."""
+    return normalize.rename_source(fx.source_lines(spark, sf))
+
+
+@query
+def month_first_dates(spark, sf):
+    """Order times as a sheet writes them, month first and without leading zeros, read back."""
+    orders = fx.table(spark, sf, "orders")
+    hours = F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    sheet = F.date_format(F.col("o_orderdate") + hours, "M/d/yyyy H:mm")
+    text, time = casts.wall_clock(F.col("sheet"))
+    return orders.select("o_orderkey", sheet.alias("sheet")).select("o_orderkey", text.alias("text"), time.alias("time"))
+
+
+@query
+def date_formats(spark, sf):
+    """How many order dates each known format reads, written day first."""
+    sheet = fx.table(spark, sf, "orders").select(F.date_format("o_orderdate", "d/M/yyyy").alias("sheet"))
+    counts = sheet.agg(casts.formats_read(F.col("sheet")).alias("counts"))
+    named = F.arrays_zip(F.array(*map(F.lit, casts.KNOWN_FORMATS)).alias("date_format"), F.col("counts").alias("cells"))
+    return counts.select(F.inline(named))
+
+
 @query
 def record_cap(spark, sf):
     lines = fx.normalised(spark, sf)
@@ -186,6 +216,36 @@ def dq_metrics_approx(spark, sf):
     return metrics.dq_metrics_approx(fx.enriched(spark, sf, "quantity", "unit_price"))
 
 
+@query
+def distinct_sketch_flags(spark, sf):
+    """Distinct transactions from stored sketches by day against the exact count, and against one sketch of all lines."""
+    lines = fx.valid(spark, sf)
+    by_day = metrics.dq_metrics_from_sketches(metrics.dq_sketches(lines))
+    one_day = lines.withColumn("invoice_ts", F.lit("2000-01-01").cast("timestamp_ntz"))
+    at_once = metrics.dq_metrics_from_sketches(metrics.dq_sketches(one_day))
+    exact = lines.groupBy("country").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("transaction_id").alias("exact")
+    )
+    joined = exact.join(by_day, "country").join(at_once.select("country", F.struct("*").alias("once")), "country")
+    allowed = 3 * metrics.sketch_error() * F.col("exact")
+    return joined.select(
+        "country",
+        "row_count",
+        (F.abs(F.col("unique_transactions") - F.col("exact")) <= allowed).alias("within_error"),
+        (F.struct(*by_day.columns) == F.col("once")).alias("equals_one_pass"),
+    )
+
+
+@query
+def dq_approx_flags(spark, sf):
+    """The one-pass approximate metrics against the exact distinct count."""
+    lines = fx.valid(spark, sf)
+    exact = lines.groupBy("country").agg(F.count_distinct("transaction_id").alias("exact"))
+    found = metrics.dq_metrics_approx(lines).join(exact, "country")
+    close = F.abs(F.col("unique_transactions") / F.col("exact") - 1) <= 3 * 0.05
+    return found.select("country", "rows_after_cleaning", "avg_unit_price", close.alias("within_error"))
+
+
 @query
 def dq_kpis(spark, sf):
     return reports.dq_kpis(dq_metrics_exact(spark, sf))
@@ -292,6 +352,63 @@ def stratified_sample(spark, sf):
     return sampling.stratified_sample(labelled, ML_LABEL, {0: 0.9, 1: 0.9})
 
 
+def _near(part, share: float, whole):
+    """Whether ``part`` of ``whole`` rows is a fair draw of that share: within five standard deviations."""
+    return F.abs(part - whole * share) <= 5 * F.sqrt(whole * max(share * (1 - share), 0.04))
+
+
+@query
+def approx_cut_flags(spark, sf):
+    """Both approximate ways to the cuts against the share of rows at or before them."""
+    times = invoice_times(spark, sf).withColumn("second", F.unix_timestamp("invoice_ts"))
+    total = times.agg(F.count("second")).scalar()
+    flags = []
+    for mode, cuts in (
+        ("one pass", splits.approx_cuts(times)),
+        ("stored sketches", splits.cuts_from_sketches(splits.time_sketches(times))),
+    ):
+        cut = cuts.unpivot([], ["q70", "q85"], "cut_name", "cut").withColumn("upto", F.lit(None).cast("bigint"))
+        one = cuts.select(F.struct("*")).scalar()
+        upto = times.agg(*[F.count_if(F.col("second") <= one[c]).alias(c) for c in ("q70", "q85")])
+        share = upto.unpivot([], ["q70", "q85"], "cut_name", "n")
+        wanted = F.substring("cut_name", 2, 2).cast("double") / 100
+        flags.append(
+            cut.drop("upto").join(share, "cut_name").select(
+                F.lit(mode).alias("mode"), "cut_name", (F.abs(F.col("n") / total - wanted) <= 0.02).alias("within_error")
+            )
+        )
+    return flags[0].unionByName(flags[1])
+
+
+@query
+def draw_flags(spark, sf):
+    """The draws that only Spark can repeat: their sizes are fair, and each row is one of the table's."""
+    times, scored = invoice_times(spark, sf), fx.scored(spark, sf)
+    labelled = labels.with_repeat_label(baskets(spark, sf), ML_HORIZON)
+    fast = splits.assign_hash_split(times, portable=False)
+    draws = {
+        "bernoulli": (times, sampling.bernoulli_sample(times, 0.6), 0.6),
+        "poisson": (scored, sampling.bootstrap_sample(scored), 1.0),
+        "stratified": (labelled, sampling.stratified_sample(labelled, ML_LABEL, {0: 0.9, 1: 0.9}), 0.9),
+        "hash train": (times, fast.filter("split = 'train'").select(*times.columns), 0.7),
+        "hash test": (times, fast.filter("split = 'test'").select(*times.columns), 0.15),
+    }
+    rows = []
+    for name, (whole, draw, share) in draws.items():
+        counts = whole.agg(F.count(F.lit(1)).alias("table_rows")).join(
+            draw.agg(F.count(F.lit(1)).alias("drawn")), how="inner"
+        )
+        strange = draw.join(whole, [draw[c].eqNullSafe(whole[c]) for c in whole.columns], "left_anti")
+        fair = _near(F.col("drawn"), share, F.col("table_rows"))
+        rows.append(
+            counts.select(
+                F.lit(name).alias("draw"), "table_rows", fair.alias("fair_size"),
+                (strange.agg(F.count(F.lit(1))).scalar() == 0).alias("rows_of_table"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 # Evaluation
 
 
@@ -389,39 +506,85 @@ def lr_scores(spark, sf):
     return fitted.scored("lr")
 
 
+@query
+def feature_vectors(spark, sf):
+    """Length, sum of the category slots and numeric part of every model input vector."""
+    vectors = training(spark, sf)
+    rows = vectors.train.unionByName(vectors.valid).unionByName(vectors.test)
+    values = vector_to_array("features")
+    n = len(models.NUMERIC)
+    shown = F.transform(F.slice(values, 1, n), lambda x: x)
+    slots = F.slice(values, n + len(signals.SIGNALS) + 1, F.size(values))
+    return rows.select(
+        "invoice_no", "customer_id", "invoice_ts",
+        *[shown[i].alias(c) for i, c in enumerate(models.NUMERIC)],
+        F.aggregate(slots, F.lit(0.0), lambda a, x: a + x).alias("slots_set"),
+    )
+
+
 @query
 def rf_scores(spark, sf):
-    fitted = train.fit_all(training(spark, sf), {"rf": models.random_forest(ML_LABEL, **SMALL_FOREST)})
+    fitted = train.fit_all(training(spark, sf), {"rf": models.random_forest(ML_LABEL)})
     return fitted.scored("rf")
 
 
 @query
 def gbt_scores(spark, sf):
-    estimator = models.boosted_trees(ML_LABEL, maxIter=10, maxDepth=4)
-    return train.fit_all(training(spark, sf), {"gbt": estimator}).scored("gbt")
+    return train.fit_all(training(spark, sf), {"gbt": models.boosted_trees(ML_LABEL)}).scored("gbt")
 
 
 @query
 def rf_cv(spark, sf):
-    estimator = models.random_forest(ML_LABEL, numTrees=10)
-    grid = {"maxDepth": (3, 5), "minInstancesPerNode": (1, 4)}
-    return train.tune(training(spark, sf), "tuned", estimator=estimator, grid=grid, folds=2).scored("tuned")
+    """The whole grid of 12 points on 3 folds."""
+    return train.tune(training(spark, sf), "tuned").scored("tuned")
+
+
+@query
+def rf_cv_forward(spark, sf):
+    """The same over folds in time order."""
+    return train.tune(training(spark, sf), "tuned", forward=True).scored("tuned")
 
 
 @query
 def sampled_control(spark, sf):
-    estimators = {
-        "sample_lr": models.logistic_regression(ML_LABEL, **models.CONTROL_LR_PARAMS, regParam=0.0),
-        "sample_rf": models.random_forest(ML_LABEL, **SMALL_FOREST),
-    }
-    return train.fit_control(training(spark, sf), estimators).comparison()
+    return train.fit_control(training(spark, sf), train.control_estimators(ML_LABEL)).comparison()
 
 
 @query
 def model_comparison(spark, sf):
-    estimators = {
-        "mllib_lr": models.logistic_regression(ML_LABEL),
-        "mllib_rf": models.random_forest(ML_LABEL, **SMALL_FOREST),
-        "mllib_gbt": models.boosted_trees(ML_LABEL, maxIter=5, maxDepth=3),
-    }
-    return train.fit_all(training(spark, sf), estimators).comparison()
+    """All six models at their own settings."""
+    fitted = train.fit_all(training(spark, sf), train.default_estimators(ML_LABEL))
+    train.tune(fitted)
+    return train.fit_control(fitted, train.control_estimators(ML_LABEL)).comparison()
+
+
+@query
+def reloaded_scores_flags(spark, sf):
+    """A saved and reloaded pipeline scores every test row like the fitted one."""
+    fitted = train.fit_all(training(spark, sf), {"lr": models.logistic_regression(ML_LABEL)})
+    path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4()}"
+    models.save(fitted.fitted["lr"], path)
+    labelled = labels.with_repeat_label(baskets(spark, sf), ML_HORIZON)
+    _, _, test = splits.parts(splits.assign_temporal_split(labelled))
+    again = models.score(models.load(path), test).select("invoice_no", "customer_id", "invoice_ts", "score", "pred")
+    before = fitted.scored("lr").select("invoice_no", "customer_id", "invoice_ts", F.struct("score", "pred").alias("before"))
+    same = F.struct("score", "pred") == F.col("before")
+    inside = F.col("score").between(0, 1) & (F.col("pred") == (F.col("score") > 0.5).cast("int"))
+    both = again.join(before, ["invoice_no", "customer_id", "invoice_ts"])
+    return both.agg(F.count(F.lit(1)).alias("test_rows"), F.every(same).alias("same_scores"), F.every(inside).alias("sound"))
+
+
+@query
+def run_log_health(spark, sf):
+    """Monitoring queries over a log: every event is a run, a failed one where its value is small."""
+    return lineage.run_health(fx.run_log(spark, sf))
+
+
+@query
+def run_log_latest(spark, sf):
+    return lineage.latest_runs(fx.run_log(spark, sf)).drop("extra")
+
+
+@query
+def run_log_join_modes(spark, sf):
+    return lineage.runtime_by_join_mode(fx.run_log(spark, sf))

@@ -164,7 +164,9 @@ def test_join_strategies_agree_and_fill(spark):
         {"strategy": "broadcast"},
         {"strategy": "broadcast", "row_limit": 2},
         {"strategy": "merge"},
-        {"strategy": "merge", "salt_buckets": 1},
+        {"strategy": "merge", "tasks": 1},
+        {"strategy": "merge", "tasks": 64},
+        {"strategy": "merge", "measured": lines.limit(1)},
     ):
         rows = enrich.enrich(lines, dim, **settings).select("country", "region", "shipping_risk_score")
         assert sorted(map(tuple, rows.collect())) == expected
@@ -185,6 +187,32 @@ def test_join_plans(spark):
     assert "SortMergeJoin" in merged and "hashpartitioning(country" in merged and "salt" in merged
 
 
+def test_merge_join_spreads_a_heavy_country(spark):
+    """89 % of the lines are of one country, and some have none: no task gets much more than its share."""
+    country = F.when(F.col("id") % 100 < 85, "France").when(F.col("id") % 100 < 95, F.concat(F.lit("c"), F.col("id") % 7))
+    lines = spark.range(20_000).select(F.col("id").cast("string").alias("invoice_no"), country.alias("country"))
+    lines = lines.unionByName(lines.limit(8_000).withColumn("country", F.lit("France")))
+    heavy = {r.country: r.salts for r in enrich.heavy_keys(lines, 16).collect()}
+    assert set(heavy) == {"France"} and heavy["France"] in (14, 15)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        joined = enrich.enrich(lines, enrich.country_dim(spark), "merge")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(sizes) == 28_000 and max(sizes) < 4 * 28_000 / 16
+        assert joined.filter("region = 'europe'").count() == lines.filter("country = 'France'").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_broadcast_of_too_much_is_told(spark, caplog):
+    dim = enrich.country_dim(spark)
+    assert enrich.effective("broadcast", dim) == "broadcast" and not caplog.records
+    assert enrich.effective("broadcast", dim, row_limit=2) == "merge" and "more than 2 rows" in caplog.text
+
+
 def test_dedupe_folds_copies_before_the_shuffle(spark):
     valid = validate.valid_lines(normalize.normalise(raw(spark, {})))
     plan = plan_of(dedupe.dedupe(valid))
