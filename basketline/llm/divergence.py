@@ -72,10 +72,13 @@ def kept_terms(counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     return totals.filter(F.col("docs") >= least_docs).select("lang", "term", "n")
 
 
-def numbered(kept: DataFrame, sizes: DataFrame, slice_size: int = SLICE) -> DataFrame:
-    """(lang, term, slice, id): terms in slices by hash, numbered in order within their slice."""
-    slices = F.greatest(F.ceil(F.col("v") / slice_size), F.lit(1))
-    dealt = kept.join(sizes, "lang").select("lang", "term", F.pmod(F.xxhash64("term"), slices).cast("int").alias("slice"))
+def numbered(kept: DataFrame, most: int, slice_size: int = SLICE) -> DataFrame:
+    """(lang, term, slice, id): terms in slices by hash, numbered in order within their slice.
+
+    ``most`` is the number of terms of the language that has most; the others' slices are as many and smaller.
+    """
+    slices = F.lit(max(1, -(-most // slice_size)))
+    dealt = kept.select("lang", "term", F.pmod(F.xxhash64("term"), slices).cast("int").alias("slice"))
     place = F.row_number().over(Window.partitionBy("lang", "slice").orderBy("term"))
     return dealt.withColumn("id", place)
 
@@ -151,7 +154,8 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, slice_s
     kept = cut_lineage(kept_terms(counts, least_docs))
     langs = counts.select("lang").distinct().join(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_total")), "lang", "left")
     langs = cut_lineage(langs.na.fill(0, ["v", "lang_total"]))
-    numbers = cut_lineage(numbered(kept, langs.select("lang", "v"), slice_size))
+    most = langs.agg(F.max("v")).first()[0] or 0
+    numbers = cut_lineage(numbered(kept, most, slice_size))
     entries = cut_lineage(counts.select("lang", "source", "term", "n").join(numbers, ["lang", "term"]))
     totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = counts.filter("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang")
