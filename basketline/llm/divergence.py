@@ -40,26 +40,25 @@ def _count(held: dict, piece: pa.RecordBatch, texts: list[bytes]) -> None:
         held.setdefault((lang, source, "docs"), Counter()).update(set(terms))
 
 
-def _batch(held: dict) -> pa.RecordBatch:
-    """The counts; each group has a row without a term besides, so that none is lost."""
-    rows = {"lang": [], "source": [], "term": [], "n": [], "docs": []}
-    for lang, source, kind in held:
-        if kind == "n":
-            counts, docs = held[lang, source, "n"], held[lang, source, "docs"]
-            rows["lang"] += [lang] * (len(counts) + 1)
-            rows["source"] += [source] * (len(counts) + 1)
-            rows["term"] += [None, *(t.decode() for t in counts)]
-            rows["n"] += [0, *counts.values()]
-            rows["docs"] += [0, *(docs[t] for t in counts)]
-    kinds = {"n": pa.int64(), "docs": pa.int64()}
-    return pa.record_batch([pa.array(v, kinds.get(k, pa.string())) for k, v in rows.items()], names=list(rows))
+def _batches(held: dict) -> Iterator[pa.RecordBatch]:
+    """The counts of one group after the other; each has a row without a term besides, so that no group is lost."""
+    for lang, source in {key[:2] for key in held}:
+        counts, docs = held.pop((lang, source, "n")), held.pop((lang, source, "docs"))
+        rows = {
+            "lang": pa.array([lang] * (len(counts) + 1), pa.string()),
+            "source": pa.array([source] * (len(counts) + 1), pa.string()),
+            "term": pa.array([None, *(t.decode() for t in counts)], pa.string()),
+            "n": pa.array([0, *counts.values()], pa.int64()),
+            "docs": pa.array([0, *(docs[t] for t in counts)], pa.int64()),
+        }
+        yield pa.record_batch(list(rows.values()), names=list(rows))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs), with a row of a null term for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from tallied(batches, _count, _batch)
+        yield from tallied(batches, _count, _batches)
 
     named = docs.select(text_of("lang").alias("lang"), text_of("source").alias("source"), "text")
     parts = named.mapInArrow(run, "lang string, source string, term string, n long, docs long")

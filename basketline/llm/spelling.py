@@ -54,16 +54,16 @@ def _count(held: dict, piece: pa.RecordBatch, texts: list[bytes]) -> None:
                 words[variant(run, doc_crc)] += n
 
 
-def _batch(held: dict) -> pa.RecordBatch:
-    words = {w: n for w, n in held["words"].items() if len(w) >= LEAST_LETTERS}
-    return pa.record_batch([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
+def _batches(held: dict) -> Iterator[pa.RecordBatch]:
+    words = {w: n for w, n in held.pop("words", {}).items() if len(w) >= LEAST_LETTERS}
+    yield pa.record_batch([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
     """(word, n) of the words that occur often enough in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from tallied(batches, _count, _batch)
+        yield from tallied(batches, _count, _batches)
 
     parts = docs.select("doc_id", "text").mapInArrow(run, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_TIMES)

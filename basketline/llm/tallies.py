@@ -10,7 +10,7 @@ import pyarrow as pa
 from basketline.llm.batches import pieces
 
 #: A task hands on its counts when it holds so many, or has read so many bytes of text since it last did.
-MOST_COUNTS, MOST_BYTES = 500_000, 32_000_000
+MOST_COUNTS, MOST_BYTES = 800_000, 48_000_000
 
 
 def lowered(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
@@ -21,9 +21,9 @@ def lowered(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 def tallied(
     batches: Iterator[pa.RecordBatch],
     count: Callable[[dict[Hashable, Counter], pa.RecordBatch, list[bytes]], None],
-    batch_of: Callable[[dict[Hashable, Counter]], pa.RecordBatch],
+    batches_of: Callable[[dict[Hashable, Counter]], Iterator[pa.RecordBatch]],
 ) -> Iterator[pa.RecordBatch]:
-    """Partial counts: ``count`` adds a piece's texts to the counters, ``batch_of`` writes the counters out."""
+    """Partial counts: ``count`` adds a piece's texts to the counters, ``batches_of`` writes the counters out and may empty them."""
     held: dict[Hashable, Counter] = {}
     read = 0
     for piece in pieces(batches):
@@ -31,7 +31,6 @@ def tallied(
         count(held, piece, texts)
         read += sum(map(len, texts))
         if read > MOST_BYTES or sum(map(len, held.values())) > MOST_COUNTS:
-            yield batch_of(held)
+            yield from batches_of(held)
             held, read = {}, 0
-    if held:
-        yield batch_of(held)
+    yield from batches_of(held)
