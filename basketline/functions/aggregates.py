@@ -39,7 +39,7 @@ def _digits(c: Column) -> list[Column]:
     mid = below.cast("bigint")
     last = (below - mid.cast("double")) * 2.0**BITS
     low = last.cast("bigint")
-    rest = F.when(high.isNull(), c).otherwise((last - low.cast("double")) * _UNITS[0])
+    rest = F.when(high.isNull() | (F.abs(c) < _UNITS[0]), c).otherwise((last - low.cast("double")) * _UNITS[0])
     # 28 decimal places leave a sum room for 1e19 rows
     return [*[digit.cast("decimal(28,0)") for digit in (low, mid, high)], rest]
 

@@ -42,6 +42,20 @@ def md5_unit(*cols) -> Column:
 POISSON_ONE_CUTS = tuple(math.exp(-1) * math.fsum(1 / math.factorial(j) for j in range(k + 1)) for k in range(12))
 
 
+def poisson_draw(*cols) -> Column:
+    """Poisson(1) draw from an md5 over the columns: ``poisson_one(md5_unit(*cols))`` without the way over numbers.
+
+    The digits of a digest are in the order of the number that they say, so it is held against the first eight
+    digits of the smallest number at or above each cut.
+    """
+    digest = F.md5(F.concat_ws("|", *cols).cast("binary"))
+    limits = [f"{math.ceil(cut * 2**32):08x}" for cut in POISSON_ONE_CUTS]
+    weight = F.when(digest < limits[0], 0)
+    for k, limit in enumerate(limits[1:], start=1):
+        weight = weight.when(digest < limit, k)
+    return weight.otherwise(len(limits))
+
+
 def poisson_one(u: Column) -> Column:
     """Poisson(1) draw from a uniform number by the inverse distribution function."""
     weight = F.when(u < POISSON_ONE_CUTS[0], 0)

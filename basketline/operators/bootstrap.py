@@ -22,7 +22,7 @@ def with_weights(df: DataFrame, row_id: Sequence[str], replicates: int = REPLICA
     draws the same resample.
     """
     replicate = F.sequence(F.lit(0), F.lit(replicates - 1))
-    return df.withColumn("weights", F.transform(replicate, lambda rep: keys.poisson_one(keys.md5_unit(*row_id, rep))))
+    return df.withColumn("weights", F.transform(replicate, lambda rep: keys.poisson_draw(*row_id, rep)))
 
 
 def bootstrap_auc(

@@ -66,13 +66,13 @@ def profit_per_thousand(counts: DataFrame, payoff: Mapping[str, float] = PAYOFF)
 SLICES = 64
 
 
-def _slice_of(score: Column, bounds: Column, low: int = 0, high: int = SLICES - 1) -> Column:
-    """In which slice a score lies: a search in sorted bounds, six comparisons deep."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(score <= bounds[middle], _slice_of(score, bounds, low, middle)).otherwise(
-        _slice_of(score, bounds, middle + 1, high)
+def _slice_of(score: Column, bounds: Sequence[float], first: int = 0) -> Column:
+    """In which of the slices between sorted bounds a score lies: a binary search, six comparisons deep."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(score <= bounds[middle], _slice_of(score, bounds[:middle], first)).otherwise(
+        _slice_of(score, bounds[middle + 1 :], first + middle + 1)
     )
 
 
@@ -94,7 +94,8 @@ def weighted_aucs(
         F.col(score).alias("score"), (F.col(label) == 1).alias("hit"), *[w.alias(f"w{i}") for i, w in enumerate(weights)]
     )
     at = F.array(*[F.lit((i + 1) / SLICES) for i in range(SLICES - 1)])
-    bounds = rows.agg(F.percentile_approx("score", at, 10 * SLICES)).scalar()
+    # at most SLICES - 1 numbers; a subquery for each comparison would have to be planned as often
+    bounds = sorted(set(rows.agg(F.percentile_approx("score", at, 10 * SLICES)).first()[0] or ()))
 
     def summed(name: str, counted: Column) -> list[Column]:
         return [F.coalesce(F.sum(F.when(counted, F.col(f"w{i}"))), F.lit(0)).alias(f"{name}{i}") for i in n]

@@ -94,8 +94,9 @@ def cuts_from_sketches(sketches: DataFrame, percents=(TRAIN_PERCENT, VALID_PERCE
     A sketch of ``SKETCH_K`` has a rank error of about one percent. No sketches give a row of nulls.
     """
     merged = sketches.agg(F.kll_merge_agg_bigint("times").alias("times"))
+    filled = F.kll_sketch_get_n_bigint("times") > 0  # an empty sketch has no quantile to ask for
     return merged.select(
-        *[F.kll_sketch_get_quantile_bigint("times", F.lit(p / 100).cast("double")).alias(f"q{p}") for p in percents]
+        *[F.when(filled, F.kll_sketch_get_quantile_bigint("times", F.lit(p / 100))).alias(f"q{p}") for p in percents]
     )
 
 

@@ -484,9 +484,28 @@ def run_recommendation(spark, sf):
 # Models
 
 
+_TRAINING: dict[tuple[str, str], train.Training] = {}
+
+
 def training(spark, sf) -> train.Training:
-    labelled = labels.with_repeat_label(baskets(spark, sf), ML_HORIZON)
-    return train.prepare(labelled, ML_LABEL)
+    """The split frames with their vectors, and the models fitted on them so far; several queries need the same."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _TRAINING:
+        labelled = labels.with_repeat_label(baskets(spark, sf), ML_HORIZON)
+        _TRAINING[key] = train.prepare(labelled, ML_LABEL)
+    return _TRAINING[key]
+
+
+def fitted(spark, sf, *names: str) -> train.Training:
+    """The training with these models, each at the settings that ``plans.train`` gives it."""
+    done = training(spark, sf)
+    estimators = train.default_estimators(ML_LABEL)
+    train.fit_all(done, {n: estimators[n] for n in names if n in estimators and n not in done.fitted})
+    if train.TUNED in names and train.TUNED not in done.fitted:
+        train.tune(done)
+    control = train.control_estimators(ML_LABEL)
+    train.fit_control(done, {n: control[n] for n in names if n in control and n not in [*done.fitted, *done.unfitted]})
+    return done
 
 
 @query
@@ -502,8 +521,7 @@ def category_index(spark, sf):
 
 @query
 def lr_scores(spark, sf):
-    fitted = train.fit_all(training(spark, sf), {"lr": models.logistic_regression(ML_LABEL)})
-    return fitted.scored("lr")
+    return fitted(spark, sf, "mllib_lr").scored("mllib_lr")
 
 
 @query
@@ -524,50 +542,55 @@ def feature_vectors(spark, sf):
 
 @query
 def rf_scores(spark, sf):
-    fitted = train.fit_all(training(spark, sf), {"rf": models.random_forest(ML_LABEL)})
-    return fitted.scored("rf")
+    return fitted(spark, sf, "mllib_rf").scored("mllib_rf")
 
 
 @query
 def gbt_scores(spark, sf):
-    return train.fit_all(training(spark, sf), {"gbt": models.boosted_trees(ML_LABEL)}).scored("gbt")
+    return fitted(spark, sf, "mllib_gbt").scored("mllib_gbt")
 
 
 @query
 def rf_cv(spark, sf):
     """The whole grid of 12 points on 3 folds."""
-    return train.tune(training(spark, sf), "tuned").scored("tuned")
+    return fitted(spark, sf, train.TUNED).scored(train.TUNED)
 
 
 @query
 def rf_cv_forward(spark, sf):
-    """The same over folds in time order."""
-    return train.tune(training(spark, sf), "tuned", forward=True).scored("tuned")
+    """Depth and leaf size tuned on folds in time order."""
+    done = training(spark, sf)
+    if "forward" not in done.fitted:
+        grid = {"maxDepth": (8, 12), "minInstancesPerNode": (1, 4)}
+        train.tune(done, "forward", forward=True, estimator=models.random_forest(ML_LABEL, numTrees=80), grid=grid)
+    return done.scored("forward")
+
+
+CONTROL = ("sample_lr", "sample_rf")
 
 
 @query
 def sampled_control(spark, sf):
-    return train.fit_control(training(spark, sf), train.control_estimators(ML_LABEL)).comparison()
+    return fitted(spark, sf, *CONTROL).comparison(CONTROL)
 
 
 @query
 def model_comparison(spark, sf):
     """All six models at their own settings."""
-    fitted = train.fit_all(training(spark, sf), train.default_estimators(ML_LABEL))
-    train.tune(fitted)
-    return train.fit_control(fitted, train.control_estimators(ML_LABEL)).comparison()
+    names = ("mllib_lr", "mllib_rf", "mllib_gbt", train.TUNED, *CONTROL)
+    return fitted(spark, sf, *names).comparison(names)
 
 
 @query
 def reloaded_scores_flags(spark, sf):
     """A saved and reloaded pipeline scores every test row like the fitted one."""
-    fitted = train.fit_all(training(spark, sf), {"lr": models.logistic_regression(ML_LABEL)})
+    done = fitted(spark, sf, "mllib_lr")
     path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4()}"
-    models.save(fitted.fitted["lr"], path)
+    models.save(done.fitted["mllib_lr"], path)
     labelled = labels.with_repeat_label(baskets(spark, sf), ML_HORIZON)
     _, _, test = splits.parts(splits.assign_temporal_split(labelled))
     again = models.score(models.load(path), test).select("invoice_no", "customer_id", "invoice_ts", "score", "pred")
-    before = fitted.scored("lr").select("invoice_no", "customer_id", "invoice_ts", F.struct("score", "pred").alias("before"))
+    before = done.scored("mllib_lr").select("invoice_no", "customer_id", "invoice_ts", F.struct("score", "pred").alias("before"))
     same = F.struct("score", "pred") == F.col("before")
     inside = F.col("score").between(0, 1) & (F.col("pred") == (F.col("score") > 0.5).cast("int"))
     both = again.join(before, ["invoice_no", "customer_id", "invoice_ts"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from fractions import Fraction
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +76,51 @@ def test_one_invoice_with_two_times_gives_two_rows(spark):
     assert (out[0].is_weekend, out[0].avg_unit_price) == (1, 1.5)
 
 
+def exactly(values):
+    total = sum(map(Fraction, values))
+    return total.numerator / total.denominator
+
+
+SUMS = [
+    [3e-9, 3e-9], [1e20, 1.0, -1e20], [-1e20, -1.0, 1e20], [0.1] * 1000, [-0.1] * 999 + [1e9, -1e9], [9e27] * 300, [-9e27] * 300 + [1.0],
+    [1.0, 2**-53], [1.0, 2**-53, 2**-90], [-1.0, -(2**-53), -(2**-90)], [2.0**-90], [2.0**52 + 1, 0.5, 1e-20], [-(2.0**30), 2.0**-30], [1e-5, -1e-5],
+]
+
+
+def test_sums_of_doubles_are_exact_in_any_cut(spark):
+    """Rounded once, whatever the order, the partitions and the steps in which groups are merged."""
+    rng = random.Random(1)
+    groups = SUMS + [[rng.uniform(-1, 1) * 2.0 ** rng.randint(-30, 85) for _ in range(rng.randint(1, 30))] for _ in range(150)]
+    rows = [(i, v) for i, g in enumerate(groups) for v in [*g, None]]
+    for seed, n in ((1, 2), (2, 7)):
+        df = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "g int, x double").repartition(n)
+        once = {r.g: r.s for r in df.groupBy("g").agg(agg.exact_sum(F.col("x")).alias("s")).collect()}
+        first = df.groupBy("g", (F.rand(seed) * 3).cast("int").alias("h")).agg(*agg.parts(F.col("x"), "x"))
+        merged = first.groupBy("g").agg(*agg.merged("x")).select("g", agg.total("x").alias("s"), agg.mean("x").alias("m"))
+        twice = {r.g: (r.s, r.m) for r in merged.collect()}
+        for i, g in enumerate(groups):
+            assert once[i] == twice[i][0] == exactly(g) and twice[i][1] == exactly(g) / len(g)
+
+
+def test_what_lies_outside_the_digits_is_added_plainly(spark):
+    nothing, inf = float("nan"), float("inf")
+    rows = [(0, 1e300), (0, 1.0), (1, inf), (1, 1.0), (2, nothing), (3, 1e-300), (3, 1e-300), (4, None), (5, -1e300), (5, 1e300), (5, 2.5)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r.g: r.s for r in df.groupBy("g").agg(agg.exact_sum(F.col("x")).alias("s")).collect()}
+    assert (got[0], got[1], got[3], got[4], got[5]) == (1e300, inf, 2e-300, None, 2.5) and got[2] != got[2]
+
+
+def test_units_cannot_overflow(spark):
+    """Two lines of 9e18 units: totals are held within a long's range, means are right."""
+    rows = [("a", "c", "X", "r", 1, START, f"S{i}", q, 1.5, 1.5, 0) for i, q in enumerate([9 * 10**18, 9 * 10**18, -(2**63)])]
+    lines = spark.createDataFrame(rows, SCHEMA + ", stock_code string, quantity bigint, unit_price double, line_total double, is_return int")
+    assert invoices.invoice_baskets(lines).first().total_units == 2**63 - 1
+    named = lines.withColumn("transaction_id", F.col("stock_code"))
+    mean = (18 * 10**18 - 2**63) / 3
+    assert metrics.dq_metrics(named).first().avg_quantity == mean
+    assert metrics.dq_metrics_approx(named).first().avg_quantity == mean
+
+
 def test_exact_sum_does_not_depend_on_order_and_falls_back(spark):
     values = [0.1] * 1000 + [1e9, -1e9, 0.2]
     expected = 100.2
@@ -97,6 +144,33 @@ def test_metrics_add_up(spark, sf_dir):
         assert abs(approx[row.country].unique_transactions / row.unique_transactions - 1) <= 3 * 0.05
 
 
+def test_sketches_are_merged_not_added(spark, sf_dir):
+    """A transaction on two days counts once; however days are put together, the figures are those of one pass."""
+    valid = fx.valid(spark, sf_dir)
+    again = valid.unionByName(valid.withColumn("invoice_ts", F.col("invoice_ts") + F.expr("INTERVAL 400 DAYS")))
+    stored = metrics.dq_sketches(again)
+    years = [stored.filter(F.year("day") == y) for y in range(1980, 2010)]
+    whole = {r.country: r for r in metrics.dq_metrics_from_sketches(stored).collect()}
+    parts = {r.country: r for r in metrics.dq_metrics_from_sketches(reduce(lambda a, b: b.unionByName(a), years)).collect()}
+    assert whole == parts
+    for r in metrics.dq_metrics(valid).collect():
+        # fewer transactions than the sketch has room for: exact
+        assert whole[r.country].unique_transactions == r.unique_transactions
+        assert whole[r.country].rows_after_cleaning == 2 * r.rows_before_dedupe
+
+
+def test_cuts_from_stored_sketches(spark):
+    rng = random.Random(8)
+    rows = [(str(i), "c", START + timedelta(minutes=rng.randrange(400_000))) for i in range(3000)] + [("x", "c", None)]
+    df = frame(spark, rows)
+    cuts = splits.cuts_from_sketches(splits.time_sketches(df))
+    split = splits.assign_temporal_split(df, cuts=cuts)
+    counts = {r.split: r.row_count for r in splits.split_counts(split).collect()}
+    assert abs(counts["train"] - 2100) <= 60 and abs(counts["valid"] - 450) <= 120
+    none = splits.cuts_from_sketches(splits.time_sketches(df.filter("invoice_ts IS NULL")))
+    assert none.first().q70 is None
+
+
 @pytest.mark.parametrize("mode", ["exact", "approx"])
 def test_temporal_split_is_disjoint_and_covering(spark, mode):
     rng = random.Random(3)

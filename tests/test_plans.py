@@ -223,6 +223,34 @@ def test_train_save_load_evaluate(spark, store):
     assert tuned.auc == values["test_auc"] and tuned.f1_weighted == values["test_f1_weighted"]
 
 
+def test_forward_folds_never_train_on_later_rows(spark, store):
+    features = readers.read_gold(spark, f"{store['gold']}/model_features")
+    training = train.prepare(features, LABEL)
+    both = training.train.unionByName(training.valid)
+    blocks = models.forward_folds(both)
+    spans = {r.block: r for r in blocks.groupBy("block").agg(
+        F.min("invoice_ts").alias("first"), F.max("invoice_ts").alias("last"), F.count("*").alias("n")).collect()}
+    assert set(spans) == {0, 1, 2, 3} and sum(r.n for r in spans.values()) == both.count()
+    assert all(spans[k].last < spans[k + 1].first for k in range(3))
+    assert max(r.n for r in spans.values()) < 1.3 * min(r.n for r in spans.values())
+    small = models.random_forest(LABEL, numTrees=3)
+    found = models.time_validate(both, small, {"maxDepth": (1, 3)}, label=LABEL, parallelism=2)
+    assert [p["maxDepth"] for p in found.params] == [1, 3] and len(found.fold_scores) == 3
+    test = blocks.filter("block = 2")
+    fitted = small.copy({small.maxDepth: 3}).fit(blocks.filter("block < 2"))
+    assert found.fold_scores[1][1] == pytest.approx(models.evaluator(LABEL).evaluate(fitted.transform(test)), abs=0.05)
+    train.tune(training, "forward", forward=True, estimator=small, grid={"maxDepth": (1, 3)})
+    assert training.scored("forward").count() == training.test.count()
+
+
+def test_control_without_both_classes_has_a_row_of_zeros(spark, store):
+    features = readers.read_gold(spark, f"{store['gold']}/model_features")
+    training = train.prepare(features, LABEL)
+    training.train = training.train.filter(f"{LABEL} = 1")
+    train.fit_control(training, {"sample_lr": models.logistic_regression(LABEL)})
+    assert [tuple(r) for r in training.comparison().collect()] == [("sample_lr", 0.0, 0.0, 0.0)]
+
+
 def test_unseen_category_is_scored(spark, store):
     features = readers.read_gold(spark, f"{store['gold']}/model_features")
     model = models.fit(features.filter("region <> 'unknown'"), models.logistic_regression(LABEL, maxIter=2))

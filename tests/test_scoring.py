@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from basketline.functions.keys import POISSON_ONE_CUTS, poisson_one
+from basketline.functions.keys import POISSON_ONE_CUTS, md5_unit, poisson_draw, poisson_one
 from basketline.operators import bootstrap, evaluation, runcost, sampling, scoring
 
 SCHEMA = "id bigint, label int, score double, pred int"
@@ -48,6 +48,21 @@ def test_auc_edges(spark):
     assert scoring.rank_auc(same.withColumn("score", F.lit(None).cast("double"))).count() <= 1
 
 
+def test_auc_takes_three_exchanges_and_folds_a_hot_score(spark):
+    """However many weights; the score that a third of the rows share crosses the shuffle once per task."""
+    _, df = scored(spark)
+    for auc in (scoring.rank_auc(df), bootstrap.bootstrap_auc(df.select("id", "label", "score"), ["id"], replicates=7)):
+        plan = auc._jdf.queryExecution().executedPlan().toString()
+        # besides the one that spreads the rows to be hashed: by score, by slice, by replicate
+        assert plan.count("Exchange hashpartitioning(") - plan.count("Exchange hashpartitioning(id") == 3
+        assert "partial_sum" in plan and "rangepartitioning" not in plan
+
+
+def test_draws_on_digests_are_those_on_numbers(spark):
+    rows = spark.range(3000).select(poisson_draw("id", F.lit(7)).alias("a"), poisson_one(md5_unit("id", F.lit(7))).alias("b"))
+    assert rows.filter("a <> b").count() == 0 and rows.filter("a = 0").count() > 900
+
+
 def test_f1(spark):
     _, df = scored(spark)
     ours = scoring.f1_scores(scoring.confusion(df)).first()
@@ -114,6 +129,15 @@ def test_run_costs(spark):
     assert picks["Fastest"] == "E8_C4_M16" and picks["Cheapest"] == "E4_C4_M16"
 
 
+def test_recommendation_of_unmeasured_and_of_tiny_costs(spark):
+    """A run of 0 s was not measured; costs far below 1e-8 still tell profiles apart."""
+    schema = "run_id bigint, mode string, resource_profile string, runtime_sec double, result_rows bigint"
+    rows = [(0, "strong", "E4_C4_M16", 2.0, 10**12), (1, "strong", "E8_C4_M16", 1.9, 10**12), (2, "weak", "E1_C1_M1", 0.0, 5), (3, "weak", "odd", 9.0, 1)]
+    picks = {r.recommendation: r for r in runcost.recommend(spark.createDataFrame(rows, schema)).collect()}
+    assert {n: r.resource_profile for n, r in picks.items()} == {"Fastest": "E8_C4_M16", "Cheapest": "E4_C4_M16", "Balanced": "E4_C4_M16"}
+    assert 0 < picks["Cheapest"].cost_per_1000_rows < 1e-8
+
+
 def test_poisson_weights_are_not_capped(spark):
     draws = spark.createDataFrame([(0.0,), (0.9985,), (0.99999,), (1 - 2.0**-32,)], "u double")
     assert [r[0] for r in draws.select(poisson_one(F.col("u"))).collect()] == [0, 5, 8, 12]
