@@ -1,11 +1,14 @@
 """Quality rules whose cutoffs carry a guarantee: few good documents are rejected, stratum by stratum.
 
-Each rule is a measure of the text and a cutoff above which a document goes. Labelled documents say how many good
-ones a cutoff would reject. A cutoff is usable in a stratum if the exact binomial (Clopper-Pearson) upper bound of
-its false rejection rate is at most ``MOST_LOST``, at level ``ERROR`` shared by Bonferroni among all
-tests (rules x strata x grid); the lowest usable cutoff is taken. A stratum with too few labels gets no cutoff and
-its rules reject nothing. Built-in functions only; a text's measures are computed within its row, and only
-counts per (stratum, rule, cutoff) are shuffled.
+Each rule is a measure of the text, and a text goes if any rule's measure lies above the cutoff of its stratum. Labelled
+documents say how many good ones a cutoff would reject, by all rules together. The cutoffs of a grid are tested from the
+loosest to the strictest, each by the exact binomial (Clopper-Pearson) upper bound of the share of good texts lost: it has to be
+at most ``MOST_LOST``. The first that fails ends the sequence, and the last that passed is taken. A sequence in fixed order
+needs no correction of its own; ``ERROR`` is shared by Bonferroni among the strata. So with a probability of at least
+1 - ``ERROR`` no stratum loses more than ``MOST_LOST`` of its good texts to the rules. Equal texts are one label. A stratum
+with too few labels gets no cutoff and loses nothing.
+
+Built-in functions only; a text's measures are computed within its row, and only counts per (stratum, cutoff) are shuffled.
 
 Nulls: a null text is empty, a null stratum is one of its own. A null label is ignored. Repeated rows are
 judged alike; an empty table gives an empty result; other columns are not read.
@@ -80,36 +83,36 @@ def log_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, exact).otherwise(F.lit(0.0))
 
 
-def cutoffs(measures: DataFrame, labels: DataFrame, stratum: str, rules=RULES, grid=GRID, most=MOST_LOST, error=ERROR) -> DataFrame:
-    """(stratum, rule, cutoff) for each usable cutoff: the lowest of the grid with its guarantee."""
+def worst(rules=RULES) -> Column:
+    """The largest of a text's measures: the strictest cutoff that it does not pass."""
+    return F.greatest(*[F.expr(e).cast("double") for e in rules.values()])
+
+
+def cutoffs(docs: DataFrame, labels: DataFrame, stratum: str, rules=RULES, grid=GRID, most=MOST_LOST, error=ERROR) -> DataFrame:
+    """(stratum, cutoff) of each stratum in which at least the loosest cutoff has its guarantee."""
     good = labels.filter("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
-    held = measures.join(good, F.col("doc_id") == F.col("_id"), "left_semi")
-    values = F.array(*[F.struct(F.lit(r).alias("rule"), F.expr(e).cast("double").alias("value")) for r, e in rules.items()])
-    tested = held.select(F.col(stratum).alias("stratum"), F.explode(values).alias("v")).select("stratum", "v.*")
-    counts = (
-        tested.groupBy("stratum", "rule")
-        .agg(F.count("*").alias("n"), *[F.sum((F.col("value") > g).cast("long")).alias(f"k{i}") for i, g in enumerate(grid)])
-        .select("stratum", "rule", "n", F.explode(F.array(*[F.struct(F.lit(g).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, g in enumerate(grid)])).alias("t"))
-        .select("stratum", "rule", "n", "t.*")
-    )
-    tests = counts.agg(F.count("*").alias("tests"))  # one row
-    sure = log_tail(F.col("k"), F.col("n"), most) <= F.log(F.lit(error) / F.col("tests"))
-    usable = counts.join(F.broadcast(tests)).filter(sure)
-    return usable.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    held = docs.join(good, F.col("doc_id") == F.col("_id"), "left_semi").select(F.col(stratum).alias("stratum"), text_of().alias("text"))
+    value = measured(held.distinct(), ["stratum"]).select("stratum", worst(rules).alias("value"))
+    levels = sorted(grid, reverse=True)
+    lost = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(g).alias("cutoff"), F.count_if(F.col("value") > g).alias("k")) for i, g in enumerate(levels)])
+    counts = value.groupBy("stratum").agg(F.count("*").alias("n"), lost.alias("levels"))
+    strata = counts.agg(F.count("*").alias("strata"))  # one row
+    tested = counts.join(F.broadcast(strata)).select("stratum", "n", "strata", F.inline("levels"))
+    sure = log_tail(F.col("k"), F.col("n"), most) <= F.log(F.lit(error) / F.col("strata"))
+    passed = tested.select("stratum", "i", "cutoff", F.coalesce(sure, F.lit(False)).alias("sure"))
+    first_failed = F.coalesce(F.min(F.when(~F.col("sure"), F.col("i"))), F.lit(len(levels)))
+    by_level = F.array_sort(F.collect_list(F.struct("i", "cutoff")))
+    ended = passed.groupBy("stratum").agg(first_failed.alias("failed"), by_level.alias("levels")).filter("failed > 0")
+    return ended.select("stratum", F.element_at("levels", F.col("failed"))["cutoff"].alias("cutoff"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """Measures of every document, base_failed and kept. Cutoffs are one row per stratum, with a column for each rule."""
+    """Measures of every document, base_failed and kept."""
     rows = measured(docs, ["doc_id", stratum])
-    cut = cutoffs(rows, labels, stratum)
-    wide = cut.groupBy(F.col("stratum").alias("_stratum")).agg(
-        *[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]
-    )
+    cut = cutoffs(docs, labels, stratum).select(F.col("stratum").alias("_stratum"), F.col("cutoff").alias("_cutoff"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rejected = F.lit(False)
-    for rule, measure in RULES.items():
-        rejected = rejected | F.coalesce(F.expr(measure) > F.col(f"_cut_{rule}"), F.lit(False))
-    joined = rows.join(wide, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    rejected = F.coalesce(worst() > F.col("_cutoff"), F.lit(False))
+    joined = rows.join(cut, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~rejected).alias("kept"), F.col(stratum).alias("stratum"),
