@@ -11,15 +11,15 @@ import pyarrow as pa
 PIECE_CHARS = 2_000_000
 
 
-def pieces(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about ``PIECE_CHARS`` of text, or one longer row."""
+def pieces(batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``chars`` of text, or one longer row."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = np.frombuffer(np.asarray(column.cast(pa.large_string()).buffers()[1]), np.int64)
         offsets = sizes[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
         start = 0
         while start < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[start] + PIECE_CHARS, "right")) - 1
+            end = int(np.searchsorted(offsets, offsets[start] + chars, "right")) - 1
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end

@@ -23,7 +23,10 @@ from basketline.llm.batches import TokenIds, pieces, spread, starts_of
 from basketline.llm.pieces_model import BYTE, CONTROL, SPACE, UNKNOWN, load
 from basketline.llm.tables import text_of, unpacked, whole_row
 
-KEPT = 200_000
+#: Bytes of words and ids that an encoder keeps, and characters that it takes at once.
+KEPT_BYTES, CHARS = 24_000_000, 500_000
+#: Besides its bytes, a kept word costs about so many.
+WORD_BYTES = 160
 
 
 def solve(words: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -102,35 +105,47 @@ def words_of(text: str, model: dict) -> list[str]:
     return regex.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", text)
 
 
+class Decoder:
+    """Decodes ids: the bytes of all pieces lie in one array, from which those of many texts are gathered at once."""
+
+    def __init__(self, model: dict):
+        self.prefix = model["prefix"]
+        spelt = {BYTE: lambda name: bytes([int(name[1:-1], 16)]), UNKNOWN: lambda _: model["unknown_text"].encode(), CONTROL: lambda _: b""}
+        named = zip(model["names"], model["kinds"].tolist(), strict=True)
+        raw = [spelt.get(kind, str.encode)(name) for name, kind in named]
+        self.flat, self.starts = np.frombuffer(b"".join(raw), np.uint8), starts_of(np.fromiter(map(len, raw), np.int64, len(raw)))
+
+    def __call__(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
+        """The texts whose ids begin at the offsets ``at``."""
+        sizes = self.starts[ids + 1] - self.starts[ids]
+        joined = self.flat[spread(self.starts[ids], sizes)].tobytes()
+        ends = starts_of(sizes)[at].tolist()
+        texts = [joined[a:b].decode("utf-8", "replace").replace(SPACE, " ") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return [t.removeprefix(" ") for t in texts] if self.prefix else texts
+
+
 def decode(ids: list[int], model: dict) -> str:
-    names, kinds, out = model["names"], model["kinds"], bytearray()
-    for i in ids:
-        kind = kinds[i]
-        if kind == BYTE:
-            out.append(int(names[i][1:-1], 16))
-        elif kind == UNKNOWN:
-            out += model["unknown_text"].encode()
-        elif kind != CONTROL:
-            out += names[i].encode()
-    text = out.decode("utf-8", "replace").replace(SPACE, " ")
-    return text[1:] if model["prefix"] and text.startswith(" ") else text
+    return Decoder(model)(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
 
 
 class Encoder:
-    """Encodes lists of texts; ids of words met before are kept, up to ``KEPT`` words."""
+    """Encodes lists of texts; ids of words met before are kept, up to ``KEPT_BYTES`` in all."""
 
     def __init__(self, model: dict):
         self.model, self.known = model, TokenIds()
         self.flat, self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.kept = 0
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the offsets of the texts."""
-        if len(self.known) > KEPT:
+        if self.kept > KEPT_BYTES:
             self.__init__(self.model)
         words = [words_of(t, self.model) for t in texts]
         numbers, new = self.known.index([w for own in words for w in own])
         if new:
-            ids, sizes = solve([w.encode() for w in new], self.model)
+            raw = [w.encode() for w in new]
+            ids, sizes = solve(raw, self.model)
+            self.kept += sum(map(len, raw)) + 8 * len(ids) + WORD_BYTES * len(new)
             self.starts = np.concatenate((self.starts, len(self.flat) + starts_of(sizes)[:-1]))
             self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, ids))
         ids = self.flat[spread(self.starts[numbers], self.sizes[numbers])] if len(numbers) else np.zeros(0, np.int64)
@@ -138,24 +153,26 @@ class Encoder:
         return ids, at
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``row`` (all columns), ids, and decoded: the text that the ids give back."""
+def encode(docs: DataFrame, path: str, decoded: bool = True) -> DataFrame:
+    """``row`` (all columns), ids, and with ``decoded`` the text that the ids give back."""
     model = docs.sparkSession.sparkContext.broadcast(load(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model.value)
-        for piece in pieces(batches):
+        encoder, decoder = Encoder(model.value), Decoder(model.value)
+        for piece in pieces(batches, chars=CHARS):
             ids, at = encoder(piece["text"].to_pylist())
-            back = [decode(ids[a:b].tolist(), model.value) for a, b in zip(at[:-1], at[1:], strict=True)]
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.record_batch([piece["row"], lists, pa.array(back, pa.string())], names=["row", "ids", "decoded"])
+            columns = {"row": piece["row"], "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))}
+            if decoded:
+                columns["decoded"] = pa.array(decoder(ids, at), pa.string())
+            yield pa.record_batch(list(columns.values()), names=list(columns))
 
     packed = docs.select(whole_row(docs), text_of().alias("text"))
-    schema = packed.select("row", F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
+    back = [F.lit("").alias("decoded")] if decoded else []
+    schema = packed.select("row", F.array().cast("array<int>").alias("ids"), *back).schema
     return packed.mapInArrow(run, schema)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """All columns, with the ids in ``piece_ids``."""
-    out = encode(docs, path)
+    out = encode(docs, path, decoded=False)
     return out.select(*unpacked(out, docs.columns), F.col("ids").alias("piece_ids"))
