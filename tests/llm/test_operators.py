@@ -252,3 +252,52 @@ def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert out.columns == [*docs.columns, "piece_ids"] and out.count() > 0
     assert out.join(docs, "doc_id", "left_anti").count() == 0
+
+
+def test_rules_together_lose_few_good_documents(spark):
+    """Three rules are tripped by 1.5 % of the good documents each and one by all of them, if it is strict."""
+    def text(i):
+        words = [f"word{(i * 7919 + j * 104729) % 1000003}" for j in range(80)]
+        if i % 67 == 0:
+            words[::4] = ["#" * 3] * 20  # symbols
+        if i % 67 == 1:
+            return "\n".join([" ".join(words[:20])] * 3 + words)  # repeated lines
+        if i % 67 == 2:
+            words = [w * 4 for w in words]  # long words
+        return " ".join(words)
+
+    rows = [(i, text(i), "en" if i % 2 else None) for i in range(3000)] + [(9000 + i, text(3), "de") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    got = quality_rules.judge(docs, labels).filter("not base_failed").groupBy("stratum").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("lost")).collect()
+    assert {r.stratum for r in got} == {"en", None, "de"} and all(r.lost <= quality_rules.MOST_LOST * r.n for r in got)
+    cut = {r.stratum: r.cutoff for r in quality_rules.cutoffs(docs, labels, "lang").collect()}
+    assert set(cut) == {"en", None}  # 500 equal texts are one label: too few for a guarantee
+    value = quality_rules.measured(docs, ["lang"]).select("lang", quality_rules.worst().alias("v")).collect()
+    for stratum, cutoff in cut.items():
+        of = [r.v for r in value if r.lang == stratum]
+        stricter = max(g for g in quality_rules.GRID if g < cutoff)
+        lost = sum(v > stricter for v in of)
+        from math import comb, log
+
+        tail = sum(comb(len(of), i) * 0.05**i * 0.95 ** (len(of) - i) for i in range(lost + 1))
+        assert log(tail) > log(quality_rules.ERROR / 3)  # the next cutoff has no guarantee
+
+
+def test_decoding_equals_a_plain_loop():
+    model = pieces_model.load(vocabulary("piece_bpe_32k.model"))
+    encoder, decoder = piece_coding.Encoder(model), piece_coding.Decoder(model)
+    texts = ["", " a  b ", "é🎉 ▁ \x00\t日本語 <|endoftext|> </s>\n\n", "plain words", "x" * 5000, "́", ""]
+    ids, at = encoder(texts)
+
+    def plain(own):
+        out = b"".join(bytes([int(model["names"][i][1:-1], 16)]) if model["kinds"][i] == pieces_model.BYTE else model["names"][i].encode()
+                       for i in own if model["kinds"][i] not in (pieces_model.CONTROL, pieces_model.UNKNOWN))
+        text = out.decode("utf-8", "replace").replace("▁", " ")
+        return text[1:] if model["prefix"] and text.startswith(" ") else text
+
+    assert decoder(ids, at) == [plain(ids[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+    small = piece_coding.Encoder(model)
+    small.kept = piece_coding.KEPT_BYTES + 1  # forgets what it kept and goes on
+    assert small(texts)[0].tolist() == ids.tolist() and small.kept < piece_coding.KEPT_BYTES
