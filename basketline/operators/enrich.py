@@ -50,6 +50,13 @@ def small_enough(dim: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
     return dim.limit(row_limit + 1).count() <= row_limit
 
 
+def require_unique(dim: DataFrame, key: str = "country") -> None:
+    """Raise if a key is in the dimension twice: each of its lines would come out of the join twice."""
+    twice = dim.groupBy(key).count().filter("count > 1").select(key).limit(5).collect()
+    if twice:
+        raise ValueError(f"the dimension has more than one row of {', '.join(str(r[0]) for r in twice)}")
+
+
 def effective(strategy: JoinStrategy, dim: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> JoinStrategy:
     """The strategy that will be used: a broadcast of too large a dimension becomes a merge join, with a warning."""
     if strategy not in ("auto", "broadcast", "merge"):

@@ -83,6 +83,7 @@ def curate(
     with lineage.recorded(spark, log_path, "curate", source_name, gold_path) as run:
         started = time.perf_counter()
         dim = enrich.country_dim(spark) if dim is None else dim
+        enrich.require_unique(dim)
         strategy = enrich.effective(strategy, dim)
         summary_path = f"{gold_path}/basket_summary"
         sinks.write_table(basket_summary(bronze, dim, strategy), summary_path)

@@ -77,6 +77,8 @@ def main() -> None:
     years = ("country", "invoice_year")
     write = lambda: sinks.write_bronze(validate.valid_lines(lines), bronze_path, "bench", years)
     once["bronze_write"] = say("bronze_write", seconds_of(write))
+    by_month = lambda: sinks.write_bronze(validate.valid_lines(lines), f"{out}/bronze_by_month", "bench")
+    once["bronze_write_by_month"] = say("bronze_write_by_month", seconds_of(by_month))
     bronze = readers.read_bronze(spark, bronze_path)
     dim = fx.dim(spark, sf_dir)
     sales = ("invoice_no", "customer_id", "line_total", "is_return", "invoice_ts")

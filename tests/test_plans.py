@@ -155,6 +155,13 @@ def test_curate_equals_operators(spark, sf_dir, store):
     assert exported.columns == gold["sales_metrics"].columns and exported.count() == sales.count()
 
 
+def test_a_country_twice_in_the_dimension_is_an_error(spark, store, tmp_path):
+    dim = enrich.country_dim(spark)
+    bronze = readers.read_bronze(spark, store["bronze"])
+    with pytest.raises(ValueError, match="more than one row of EIRE"):
+        curate.curate(bronze, str(tmp_path / "gold"), dim.unionByName(dim.filter("country = 'EIRE'")))
+
+
 def test_curated_lines_do_not_depend_on_the_columns_taken(spark, sf_dir):
     few = fx.enriched(spark, sf_dir, "line_total")
     full = fx.enriched(spark, sf_dir).select(*few.columns)
