@@ -8,7 +8,8 @@ needs no correction of its own; ``ERROR`` is shared by Bonferroni among the stra
 1 - ``ERROR`` no stratum loses more than ``MOST_LOST`` of its good texts to the rules. Equal texts are one label. A stratum
 with too few labels gets no cutoff and loses nothing.
 
-Built-in functions only; a text's measures are computed within its row, and only counts per (stratum, cutoff) are shuffled.
+Built-in functions only; a text's measures are computed once, within its row, and written. No text is shuffled: the labelled rows
+are picked from the written measures, which hold two hashes of the text.
 
 Nulls: a null text is empty, a null stratum is one of its own. A null label is ignored. Repeated rows are
 judged alike; an empty table gives an empty result; other columns are not read.
@@ -19,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketline.llm.tables import GAP, WORD, text_of, word_count
+from basketline.llm.tables import GAP, WORD, text_of
+from basketline.session import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
 MOST_LOST, ERROR = 0.05, 0.05
@@ -88,11 +90,18 @@ def worst(rules=RULES) -> Column:
     return F.greatest(*[F.expr(e).cast("double") for e in rules.values()])
 
 
-def cutoffs(docs: DataFrame, labels: DataFrame, stratum: str, rules=RULES, grid=GRID, most=MOST_LOST, error=ERROR) -> DataFrame:
-    """(stratum, cutoff) of each stratum in which at least the loosest cutoff has its guarantee."""
+def hashed(docs: DataFrame, stratum: str) -> DataFrame:
+    """(doc_id, stratum) and the measures of every text, with two hashes of it."""
+    text = text_of()
+    rows = docs.select("doc_id", F.col(stratum).alias("stratum"), "text", F.xxhash64(text).alias("hash1"), F.xxhash64(F.lit(7), text).alias("hash2"))
+    return measured(rows, ["doc_id", "stratum", "hash1", "hash2"])
+
+
+def cutoffs(rows: DataFrame, labels: DataFrame, rules=RULES, grid=GRID, most=MOST_LOST, error=ERROR) -> DataFrame:
+    """(stratum, cutoff) of each stratum in which at least the loosest cutoff has its guarantee, from ``hashed`` rows."""
     good = labels.filter("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
-    held = docs.join(good, F.col("doc_id") == F.col("_id"), "left_semi").select(F.col(stratum).alias("stratum"), text_of().alias("text"))
-    value = measured(held.distinct(), ["stratum"]).select("stratum", worst(rules).alias("value"))
+    held = rows.join(good, F.col("doc_id") == F.col("_id"), "left_semi")
+    value = held.select("stratum", "hash1", "hash2", worst(rules).alias("value")).distinct()
     levels = sorted(grid, reverse=True)
     lost = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(g).alias("cutoff"), F.count_if(F.col("value") > g).alias("k")) for i, g in enumerate(levels)])
     counts = value.groupBy("stratum").agg(F.count("*").alias("n"), lost.alias("levels"))
@@ -108,12 +117,12 @@ def cutoffs(docs: DataFrame, labels: DataFrame, stratum: str, rules=RULES, grid=
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """Measures of every document, base_failed and kept."""
-    rows = measured(docs, ["doc_id", stratum])
-    cut = cutoffs(docs, labels, stratum).select(F.col("stratum").alias("_stratum"), F.col("cutoff").alias("_cutoff"))
+    rows = cut_lineage(hashed(docs, stratum))
+    cut = cutoffs(rows, labels).select(F.col("stratum").alias("_stratum"), F.col("cutoff").alias("_cutoff"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rejected = F.coalesce(worst() > F.col("_cutoff"), F.lit(False))
-    joined = rows.join(cut, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    joined = rows.join(cut, F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & ~rejected).alias("kept"), F.col(stratum).alias("stratum"),
+        failed.alias("base_failed"), (~failed & ~rejected).alias("kept"), "stratum",
     )
