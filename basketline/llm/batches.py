@@ -25,11 +25,18 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = P
             start = end
 
 
+#: Besides its characters, a kept token costs about so many bytes.
+TOKEN_BYTES = 160
+
+
 class TokenIds(dict):
-    """Tokens numbered as they are met. ``index`` gives numbers and the tokens that are new."""
+    """Tokens numbered as they are met, and about how many bytes they take. ``index`` gives numbers and the tokens that are new."""
+
+    size = 0
 
     def __missing__(self, token):
         number = self[token] = len(self)
+        self.size += len(token) + TOKEN_BYTES
         return number
 
     def index(self, tokens: list) -> tuple[np.ndarray, list]:

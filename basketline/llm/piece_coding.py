@@ -25,8 +25,6 @@ from basketline.llm.tables import text_of, unpacked, whole_row
 
 #: Bytes of words and ids that an encoder keeps, and characters that it takes at once.
 KEPT_BYTES, CHARS = 24_000_000, 500_000
-#: Besides its bytes, a kept word costs about so many.
-WORD_BYTES = 160
 
 
 def solve(words: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -134,18 +132,15 @@ class Encoder:
     def __init__(self, model: dict):
         self.model, self.known = model, TokenIds()
         self.flat, self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.kept = 0
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the offsets of the texts."""
-        if self.kept > KEPT_BYTES:
+        if self.known.size + self.flat.nbytes > KEPT_BYTES:
             self.__init__(self.model)
         words = [words_of(t, self.model) for t in texts]
         numbers, new = self.known.index([w for own in words for w in own])
         if new:
-            raw = [w.encode() for w in new]
-            ids, sizes = solve(raw, self.model)
-            self.kept += sum(map(len, raw)) + 8 * len(ids) + WORD_BYTES * len(new)
+            ids, sizes = solve([w.encode() for w in new], self.model)
             self.starts = np.concatenate((self.starts, len(self.flat) + starts_of(sizes)[:-1]))
             self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, ids))
         ids = self.flat[spread(self.starts[numbers], self.sizes[numbers])] if len(numbers) else np.zeros(0, np.int64)

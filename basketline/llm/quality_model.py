@@ -25,7 +25,8 @@ from basketline.llm.tables import text_of
 
 BUCKETS, DIM, SAMPLE, EPOCHS, RATE, SEED = 2**16, 16, 2000, 12, 0.5, 7
 SHORTEST, LONGEST = 3, 5
-KEPT = 300_000
+#: Bytes of words that a task keeps, and characters that it takes at once.
+KEPT_BYTES, CHARS = 40_000_000, 500_000
 
 
 def held_out(column: str = "doc_id"):
@@ -111,9 +112,9 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pull, bias = shared.value
         known, sums, sizes = TokenIds(), np.zeros(0), np.zeros(0)
-        for piece in pieces(batches):
+        for piece in pieces(batches, chars=CHARS):
             own = [text.split() for text in piece["text"].to_pylist()]
-            if len(known) > KEPT:
+            if known.size > KEPT_BYTES:
                 known, sums, sizes = TokenIds(), np.zeros(0), np.zeros(0)
             ids, new = known.index([w for words in own for w in words])
             if new:

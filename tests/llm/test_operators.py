@@ -299,5 +299,5 @@ def test_decoding_equals_a_plain_loop():
 
     assert decoder(ids, at) == [plain(ids[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     small = piece_coding.Encoder(model)
-    small.kept = piece_coding.KEPT_BYTES + 1  # forgets what it kept and goes on
-    assert small(texts)[0].tolist() == ids.tolist() and small.kept < piece_coding.KEPT_BYTES
+    small.known.size = piece_coding.KEPT_BYTES + 1  # forgets what it kept and goes on
+    assert small(texts)[0].tolist() == ids.tolist() and 0 < small.known.size < piece_coding.KEPT_BYTES
