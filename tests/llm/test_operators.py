@@ -301,3 +301,16 @@ def test_decoding_equals_a_plain_loop():
     small = piece_coding.Encoder(model)
     small.known.size = piece_coding.KEPT_BYTES + 1  # forgets what it kept and goes on
     assert small(texts)[0].tolist() == ids.tolist() and 0 < small.known.size < piece_coding.KEPT_BYTES
+
+
+def test_pipeline_stages_take_awkward_and_empty_tables(spark, awkward, sf_dir):
+    for docs in (awkward, awkward.limit(0)):
+        given = docs
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, sf_dir)
+            extra = ["piece_ids"] if i == len(corpus_pipeline.STAGES) - 1 else []
+            assert out.columns == [*given.columns, *extra], name
+            rows = out.collect()
+            known = {r.doc_id for r in docs.select("doc_id").collect()}
+            assert {r.doc_id for r in rows} <= known and bool(rows) == (given is awkward), name
+            docs = spark.createDataFrame(rows, out.schema)
