@@ -558,10 +558,10 @@ def rf_cv(spark, sf):
 
 @query
 def rf_cv_forward(spark, sf):
-    """Depth and leaf size tuned on folds in time order."""
+    """Depth tuned on folds in time order."""
     done = training(spark, sf)
     if "forward" not in done.fitted:
-        grid = {"maxDepth": (8, 12), "minInstancesPerNode": (1, 4)}
+        grid = {"maxDepth": (8, 12)}
         train.tune(done, "forward", forward=True, estimator=models.random_forest(ML_LABEL, numTrees=80), grid=grid)
     return done.scored("forward")
 

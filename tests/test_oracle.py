@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from suite.compare import differences
 
-MODELS = {"lr_scores", "rf_scores", "gbt_scores", "rf_cv", "sampled_control", "model_comparison"}
+MODELS = {"lr_scores", "rf_scores", "gbt_scores", "rf_cv", "rf_cv_forward", "sampled_control", "model_comparison"}
 
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
