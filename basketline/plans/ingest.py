@@ -44,7 +44,7 @@ def ingest(
     than caching the source. ``date_formats="detect"`` reads the date column once more, to see how it is written.
 
     The step may be repeated: rows of the same batch are replaced. Without a ``batch_id`` the batch is named
-    after the files that ``raw`` reads.
+    after the files that ``raw`` reads; a folder that has grown since is another batch, so read its new files alone.
     """
     ingested_at = ingested_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     spark = raw.sparkSession
