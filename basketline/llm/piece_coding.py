@@ -153,7 +153,7 @@ def encode(docs: DataFrame, path: str, decoded: bool = True) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(load(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(model.value), Decoder(model.value)
+        encoder, decoder = Encoder(model.value), Decoder(model.value) if decoded else None
         for piece in pieces(batches, chars=CHARS):
             ids, at = encoder(piece["text"].to_pylist())
             columns = {"row": piece["row"], "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))}
