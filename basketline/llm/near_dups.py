@@ -3,9 +3,10 @@
 Texts with equal words are one node. Its shingles are runs of ``SHINGLE`` words (a shorter text is one shingle), weighed by
 count times a smoothed idf between 1 and 2. Document frequencies cover all documents and are kept by hash bucket:
 ``DF_BUCKETS`` numbers, whatever the data, so that table may be broadcast. ``BANDS`` x ``ROWS`` samples are
-banded. In a band key every node is a candidate with the key's smallest and largest node, never with all of
-them; candidates are verified by exact weighted Jaccard similarity of the whole texts, ``LEAST`` or more, and verified
-links joined into classes. A pair whose common keys are all led by other texts is found through those only.
+banded. In a band key every node is first a candidate with the key's smallest and largest node; candidates are verified by exact
+weighted Jaccard similarity of the whole texts, ``LEAST`` or more, and verified links joined into classes. Where a key still
+holds more than one class, every pair of its nodes from different classes is a candidate too, so that no link between
+classes is lost, while a large group of near copies is not paired out.
 
 A null text has no words; texts without words are a class each by themselves. Ties go to the smallest doc_id.
 Repeated rows share a class. An empty table gives an empty result. Other columns are packed while they pass.
@@ -170,6 +171,29 @@ def similar(pairs: DataFrame, idf, least: float = LEAST) -> DataFrame:
     return pairs.mapInArrow(run, "a string, b string")
 
 
+def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """The similar ones of the pairs (a, b) of keys of texts (key, text)."""
+    full = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
+        texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
+    )
+    return similar(full.select("a", "b", "text_a", "text_b"), idf)
+
+
+def across(spread: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, that share a band in ``spread`` (key, band), are of different roots and not among ``done``.
+
+    In each band the nodes outside its largest class are held against all of its nodes, so that class is never paired with itself.
+    """
+    nodes = spread.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
+    sizes = nodes.groupBy("band", "root").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("n"))
+    nodes = cut_lineage(nodes.join(mixed.filter("n > 1").select("band", "main"), "band"))
+    others = nodes.filter("root <> main").select("band", F.col("key").alias("k"), F.col("root").alias("r"))
+    met = nodes.join(others, "band").filter("root <> r and (root = main or key < k)")
+    pairs = met.select(F.least("key", "k").alias("a"), F.greatest("key", "k").alias("b")).distinct()
+    return pairs.join(done, ["a", "b"], "left_anti")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``row`` (all columns), key of its words, and root: the key of its class. A text without words has a null root."""
     rows = _keyed(docs)
@@ -182,10 +206,11 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs = cut_lineage(pairs.select("p.*").filter("a < b").distinct())
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     texts = cut_lineage(rows.select("key", "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
-    full = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
-    )
-    roots = components(cut_lineage(similar(full.select("a", "b", "text_a", "text_b"), idf)))
+    links = cut_lineage(verified(pairs, texts, idf))
+    roots = components(links)
+    more = cut_lineage(verified(cut_lineage(across(spread, roots, pairs)), texts, idf))
+    if not more.isEmpty():
+        roots = components(links.union(more))
     out = rows.select("row", "key", (F.col("text") != "").alias("some")).join(roots, "key", "left")
     return out.select("row", "key", F.when(F.col("some"), F.coalesce("root", "key")).alias("root"))
 

@@ -208,6 +208,14 @@ def test_near_duplicates(spark, sf_dir):
     assert near_dups.one_of_each(docs).count() == len(set(of.values()))
 
 
+def test_near_dups_loses_no_link_in_a_band_led_by_other_texts(spark, monkeypatch):
+    """All texts meet in one band: pairs of near copies are found whatever the band's smallest and largest keys are."""
+    monkeypatch.setattr(near_dups, "bands", lambda rows, idf: rows.select("key", F.array(F.lit(1).cast("long")).alias("bands")))
+    texts = [" ".join(f"w{g}x{i}" for i in range(100)) + (" end" if last else "") for g in range(8) for last in (False, True)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dups.members(docs).collect()} == {i: i - i % 2 for i in range(16)}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(40, 30), (30, 41), (100, 0)]
     got = {r.key: r.root for r in groups.components(spark.createDataFrame(links, "a long, b long")).collect()}
