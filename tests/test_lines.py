@@ -318,3 +318,12 @@ def test_first_records_are_those_of_a_plain_read(spark, tmp_path, n):
             assert capped.rdd.getNumPartitions() > 8
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
+def test_dedupe_folds_no_more_than_a_shuffle_partition(spark, sf_dir):
+    """The first fold comes after an exchange, so that its sort is not as large as a split; the task spreads a hot key."""
+    rows = spark.range(0, 4000, 1, 4).selectExpr("'same' AS transaction_id", "id % 7 AS quantity")
+    plan = dedupe.dedupe(rows, copies="copies")._jdf.queryExecution().executedPlan().toString()
+    first_fold = max(at for at, line in enumerate(plan.splitlines()) if "partial_min" in line)
+    assert any("_task" in line and "Exchange" in line for line in plan.splitlines()[first_fold:])
+    assert [tuple(r) for r in dedupe.dedupe(rows, copies="copies").collect()] == [("same", 0, 4000)]
