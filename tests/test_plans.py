@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from basketline import schemas
-from basketline.ml import models
+from basketline.ml import forests, models
 from basketline.operators import enrich, labels, metrics, normalize, validate
 from basketline.plans import curate, evaluate, ingest, train
 from basketline.session import checkpoint_dir
@@ -250,6 +251,29 @@ def test_forward_folds_never_train_on_later_rows(spark, store):
     assert training.scored("forward").count() == training.test.count()
 
 
+def test_grid_points_of_a_forest_share_one_fit(spark, store, monkeypatch):
+    """The largest point equals its own fit, a cut to one tree equals that tree cut, and each other setting is fitted once a fold."""
+    training = train.prepare(readers.read_gold(spark, f"{store['gold']}/model_features"), LABEL)
+    both = training.train.unionByName(training.valid)
+    forest, fits = models.random_forest(LABEL, numTrees=5), []
+    plain = type(forest)._fit
+    monkeypatch.setattr(type(forest), "_fit", lambda self, rows: fits.append(self.getMaxDepth()) or plain(self, rows))
+    grid = {"maxDepth": (2, 6), "numTrees": (3, 5), "minInstancesPerNode": (1, 4)}
+    found = models.cross_validate(both, forest, grid, folds=2, label=LABEL)
+    assert len(found.avgMetrics) == 8 and sorted(fits[:-1]) == [6, 6, 6, 6]
+    model = plain(forest.copy({forest.maxDepth: 6}), both)
+    sizes = [(6, 5), (0, 5), (6, 3)]
+    scored = forests.grid_scores(model, both, sizes, LABEL).select("scores").collect()
+    raw = [r.raw for r in model.transform(both).select(vector_to_array("rawPrediction").alias("raw")).collect()]
+    assert [r.scores[0] for r in scored] == pytest.approx([r[1] for r in raw])
+    assert len({r.scores[1] for r in scored}) == 1
+    small = plain(forest.copy({forest.maxDepth: 2, forest.featureSubsetStrategy: "all"}), both)
+    large = plain(forest.copy({forest.maxDepth: 6, forest.featureSubsetStrategy: "all"}), both)
+    cut = forests.grid_scores(large, both, [(2, 5)], LABEL).collect()
+    raw = [r.raw for r in small.transform(both).select(vector_to_array("rawPrediction").alias("raw")).collect()]
+    assert [r.scores[0] for r in cut] == pytest.approx([r[1] for r in raw])
+
+
 def test_control_without_both_classes_has_a_row_of_zeros(spark, store):
     features = readers.read_gold(spark, f"{store['gold']}/model_features")
     training = train.prepare(features, LABEL)
