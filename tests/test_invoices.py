@@ -194,3 +194,13 @@ def test_split_without_times_goes_by_hash(spark, mode):
     counts = {r.split: r.row_count for r in splits.split_counts(splits.assign_temporal_split(df, mode)).collect()}
     assert sum(counts.values()) == 300 and set(counts) == {"train", "valid", "test"}
     assert splits.assign_temporal_split(df.limit(0), mode).count() == 0
+
+
+def test_label_and_cuts_work_their_rows_out_once(spark):
+    """Both read their rows twice, so these are written first and no longer part of the plan."""
+    rows = spark.range(8).selectExpr(
+        "string(id) invoice_no", "'c' customer_id", "'x' country", "'y' region", "1L shipping_risk_score",
+        "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(id) invoice_ts",
+    )
+    for frame in (labels.with_repeat_label(rows), labels.with_repeat_label(rows, censor=True), splits.exact_cuts(rows)):
+        assert "Range (" not in frame._jdf.queryExecution().executedPlan().toString()
