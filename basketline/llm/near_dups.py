@@ -18,18 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketline.llm.batches import TokenIds, pieces, starts_of
 from basketline.llm.groups import components
 from basketline.llm.tables import GAP, text_of, unpacked, whole_row
 from basketline.session import cut_lineage
 
 SHINGLE, LEAST, BANDS, ROWS, DF_BUCKETS, SEED = 5, 0.8, 14, 4, 2**18, 11
-#: Bytes of words that a task keeps, and characters that it takes at once.
-KEPT_BYTES, CHARS, BLOCK = 40_000_000, 500_000, 4096
+#: Shingles that are sampled at once.
+BLOCK = 4096
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -38,34 +36,28 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-class Shingles:
-    """Hashes of words are kept; a text becomes its distinct shingle hashes and their counts."""
-
-    def __init__(self):
-        self.known, self.hashes = TokenIds(), np.zeros(0, np.uint64)
-
-    def of(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text of a piece; words are numbered once a piece, as that costs a pass over all known words."""
-        words = [text.split(" ") if text else [] for text in texts]
-        if self.known.size > KEPT_BYTES:
-            self.__init__()
-        ids, new = self.known.index([w for own in words for w in own])
-        if new:
-            own = np.fromiter((xxhash.xxh64_intdigest(w) for w in new), np.uint64, len(new))
-            self.hashes = np.concatenate((self.hashes, own))
-        hashes, at = self.hashes[ids], starts_of(np.array([len(own) for own in words], np.int64))
-        for start, end in zip(at[:-1], at[1:], strict=True):
-            yield self.counted(hashes[start:end])
-
-    @staticmethod
-    def counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(h):
-            return h, np.zeros(0, np.int64)
-        width = min(SHINGLE, len(h))
-        out = np.zeros(len(h) - width + 1, np.uint64)
-        for i in range(width):
-            out = _mixed(out * MIX + h[i : i + len(out)])
-        return np.unique(out, return_counts=True)
+def hashed(text: Column) -> Column:
+    """Hashes of the words of a text; an empty one has none."""
+    each = F.transform(F.split(text, " "), lambda w: F.xxhash64(w))
+    return F.when(text == "", F.array().cast("array<long>")).otherwise(each)
+
+
+def counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of a text, given as hashes of its words, and their counts."""
+    if not len(h):
+        return h, np.zeros(0, np.int64)
+    width = min(SHINGLE, len(h))
+    out = np.zeros(len(h) - width + 1, np.uint64)
+    for i in range(width):
+        out = _mixed(out * MIX + h[i : i + len(out)])
+    return np.unique(out, return_counts=True)
+
+
+def shingles(words: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``counted`` of each text of a batch."""
+    hashes, at = words.values.to_numpy(zero_copy_only=False).view(np.uint64), words.offsets.to_numpy()
+    for start, end in zip(at[:-1], at[1:], strict=True):
+        yield counted(hashes[start:end])
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -76,18 +68,19 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     """Smoothed idf by bucket, from counts over all rows of (text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen, docs = Shingles(), np.zeros(DF_BUCKETS, np.int64), 0
-        for piece in pieces(batches, chars=CHARS):
-            for h, _ in shingles.of(piece["text"].to_pylist()):
+        seen, docs = np.zeros(DF_BUCKETS, np.int64), 0
+        for batch in batches:
+            for h, _ in shingles(batch["words"]):
                 at = _bucket(h)
                 seen += np.bincount(at, minlength=DF_BUCKETS) if len(at) > 20_000 else 0
                 if len(at) <= 20_000:
                     np.add.at(seen, at, 1)
                 docs += 1
+        pa.default_memory_pool().release_unused()
         at = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], docs))], names=["bucket", "n"])
 
-    table = rows.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    table = rows.select(hashed(F.col("text")).alias("words")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     seen = np.zeros(DF_BUCKETS)
     total = float(table.n[table.bucket < 0].sum())
     inner = table[table.bucket >= 0]
@@ -95,33 +88,35 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     return (1 + np.log((total + 1) / (seen + 1)) / np.log(total + 2)).astype(np.float32)
 
 
-def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, log c and beta of the sampling scheme, drawn once with a fixed seed; hashes pick from them."""
+def _draws() -> tuple[np.ndarray, ...]:
+    """1 / r, beta, r and log c - r + r * beta of the sampling scheme, drawn once with a fixed seed; hashes pick from them."""
     rng = np.random.default_rng(SEED)
-    return (
-        rng.gamma(2.0, 1.0, 65536).astype(np.float32),
-        np.log(rng.gamma(2.0, 1.0, 65536)).astype(np.float32),
-        rng.uniform(0.0, 1.0, 65536).astype(np.float32),
-    )
+    r, log_c, beta = rng.gamma(2.0, 1.0, 65536), np.log(rng.gamma(2.0, 1.0, 65536)), rng.uniform(0.0, 1.0, 65536)
+    return tuple(x.astype(np.float32) for x in (1 / r, beta, r, log_c - r + r * beta))
 
 
 def samples(h: np.ndarray, weights: np.ndarray, draws, keys: np.ndarray) -> np.ndarray:
-    """One consistent weighted sample for each key: a hash of the shingle chosen and its level."""
-    r_of, c_of, b_of = draws
+    """One consistent weighted sample for each key: a hash of the shingle chosen and its level.
+
+    A key, an odd number, picks a shingle's draws by the upper bits of its product with the shingle's hash.
+    """
+    inverse, beta, r, offset = draws
     lowest, out = np.full(len(keys), np.inf, np.float32), np.zeros(len(keys), np.uint64)
-    low = np.uint64(0xFFFF)
+    row, factors = np.arange(len(keys)), keys.astype(np.uint32)[:, None]
     for start in range(0, len(h), BLOCK):
         part = h[start : start + BLOCK]
-        x = _mixed(part[None, :] ^ keys[:, None])
-        r, beta = r_of[x & low], b_of[(x >> np.uint64(16)) & low]
-        t = np.floor(np.log(weights[start : start + BLOCK])[None, :] / r + beta)
-        a = c_of[(x >> np.uint64(32)) & low] - r * (t - beta) - r
+        x = (part >> np.uint64(32)).astype(np.uint32)[None, :] * factors
+        x = (x >> np.uint32(16)).astype(np.intp)
+        t = np.log(weights[start : start + BLOCK]).astype(np.float32)[None, :] * inverse.take(x)
+        t += beta.take(x)
+        np.floor(t, out=t)
+        a = offset.take(x)
+        a -= r.take(x) * t
         at = a.argmin(1)
-        row = np.arange(len(keys))
-        better = a[row, at] < lowest
-        lowest = np.where(better, a[row, at], lowest)
+        least = a[row, at]
         own = _mixed(part[at] * MIX + t[row, at].astype(np.int64).astype(np.uint64))
-        out = np.where(better, own, out)
+        out = np.where(least < lowest, own, out)
+        lowest = np.minimum(lowest, least)
     return out
 
 
@@ -134,11 +129,11 @@ def bands(rows: DataFrame, idf) -> DataFrame:
     """(key, bands) from (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, draws, table = Shingles(), _draws(), idf.value
-        keys = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.int64).astype(np.uint64)
-        for piece in pieces(batches, chars=CHARS):
+        draws, table = _draws(), idf.value
+        keys = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.int64).astype(np.uint64) | np.uint64(1)
+        for batch in batches:
             out = []
-            for h, n in shingles.of(piece["text"].to_pylist()):
+            for h, n in shingles(batch["words"]):
                 if not len(h):
                     out.append(None)
                     continue
@@ -147,28 +142,30 @@ def bands(rows: DataFrame, idf) -> DataFrame:
                 for i in range(ROWS):
                     band = _mixed(band * MIX + s[:, i])
                 out.append(band.astype(np.int64).tolist())
-            yield pa.record_batch([piece["key"], pa.array(out, pa.list_(pa.int64()))], names=["key", "bands"])
+            yield pa.record_batch([batch["key"], pa.array(out, pa.list_(pa.int64()))], names=["key", "bands"])
+        pa.default_memory_pool().release_unused()
 
-    return rows.mapInArrow(run, "key string, bands array<long>")
+    return rows.select("key", hashed(F.col("text")).alias("words")).mapInArrow(run, "key string, bands array<long>")
 
 
 def similar(pairs: DataFrame, idf, least: float = LEAST) -> DataFrame:
     """Those pairs (a, b, text_a, text_b) whose weighted Jaccard similarity is ``least`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, table = Shingles(), idf.value
-        for piece in pieces(batches, "text_a", CHARS):
+        table = idf.value
+        for batch in batches:
             keep = []
-            both = (shingles.of(piece[c].to_pylist()) for c in ("text_a", "text_b"))
-            for (ha, na), (hb, nb) in zip(*both, strict=True):
+            for (ha, na), (hb, nb) in zip(shingles(batch["text_a"]), shingles(batch["text_b"]), strict=True):
                 _, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
                 wa, wb = table[_bucket(ha)].astype(float), table[_bucket(hb)].astype(float)
                 common = (np.minimum(na[ia], nb[ib]) * wa[ia]).sum()
                 keep.append(bool(common >= least * ((na * wa).sum() + (nb * wb).sum() - common) - 1e-9))
             mask = pa.array(keep, pa.bool_())
-            yield pa.record_batch([piece["a"].filter(mask), piece["b"].filter(mask)], names=["a", "b"])
+            yield pa.record_batch([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
+        pa.default_memory_pool().release_unused()
 
-    return pairs.mapInArrow(run, "a string, b string")
+    words = [hashed(F.col(c)).alias(c) for c in ("text_a", "text_b")]
+    return pairs.select("a", "b", *words).mapInArrow(run, "a string, b string")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
