@@ -6,7 +6,9 @@ count times a smoothed idf between 1 and 2. Document frequencies cover all docum
 banded. In a band key every node is first a candidate with the key's smallest and largest node; candidates are verified by exact
 weighted Jaccard similarity of the whole texts, ``LEAST`` or more, and verified links joined into classes. Where a key still
 holds more than one class, every pair of its nodes from different classes is a candidate too, so that no link between
-classes is lost, while a large group of near copies is not paired out.
+classes is lost, while a large group of near copies is not paired out. These pairs are never rows: the key's nodes are cut into
+blocks of about ``CELL``, a cell holds two blocks, and a task compares a cell's texts by products of matrices. So a key of n nodes
+moves about n * n / ``CELL`` rows; the comparisons are still those of all pairs across classes, as the exact answer needs.
 
 A null text has no words; texts without words are a class each by themselves. Ties go to the smallest doc_id.
 Repeated rows share a class. An empty table gives an empty result. Other columns are packed while they pass.
@@ -28,6 +30,8 @@ from basketline.session import cut_lineage
 SHINGLE, LEAST, BANDS, ROWS, DF_BUCKETS, SEED = 5, 0.8, 14, 4, 2**18, 11
 #: Shingles that are sampled at once.
 BLOCK = 4096
+#: Texts in a block of a cell, and shingles that a cell's matrices hold at once.
+CELL, WIDTH = 128, 4096
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -176,19 +180,94 @@ def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return similar(full.select("a", "b", "text_a", "text_b"), idf)
 
 
-def across(spread: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, that share a band in ``spread`` (key, band), are of different roots and not among ``done``.
+def cells(spread: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, x, y, side, key, root): nodes of ``spread`` (key, band) dealt into cells in which all pairs across classes of a band meet.
 
-    In each band the nodes outside its largest class are held against all of its nodes, so that class is never paired with itself.
+    The nodes outside a band's largest class are held against all of its nodes, so that class is never paired with itself.
+    Blocks are numbered by a hash: those of the other classes from 0 up, those of the largest class from -1 down. In a cell (x, y)
+    block x is on side 0 and block y on side 1.
     """
     nodes = spread.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
     sizes = nodes.groupBy("band", "root").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("n"))
-    nodes = cut_lineage(nodes.join(mixed.filter("n > 1").select("band", "main"), "band"))
-    others = nodes.filter("root <> main").select("band", F.col("key").alias("k"), F.col("root").alias("r"))
-    met = nodes.join(others, "band").filter("root <> r and (root = main or key < k)")
-    pairs = met.select(F.least("key", "k").alias("a"), F.greatest("key", "k").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+    mixed = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("k"))
+    blocks = lambda n: F.ceil(n / CELL).cast("int")
+    mixed = mixed.filter("k > 1").select("band", "main", blocks(F.col("most")).alias("mains"), blocks(F.col("n") - F.col("most")).alias("others"))
+    own = F.xxhash64(F.lit(SEED), "key")
+    is_main = F.col("root") == F.col("main")
+    block = F.when(is_main, -1 - F.pmod(own, "mains")).otherwise(F.pmod(own, "others")).cast("int")
+    nodes = nodes.join(mixed, "band").withColumn("block", block)
+    every = F.sequence(F.when(is_main, 0).otherwise(-F.col("mains")), F.col("others") - 1)
+    meets = nodes.select("band", "key", "root", "block", F.explode(every).alias("other"))
+    x, y = F.least("block", "other"), F.greatest("block", "other")
+    return meets.select("band", x.alias("x"), y.alias("y"), (F.col("block") > F.col("other")).cast("int").alias("side"), "key", "root")
+
+
+def common_weights(left: list[tuple], right: list[tuple], table: np.ndarray) -> np.ndarray:
+    """What each text of ``left`` and each of ``right``, given as their ``counted`` shingles, have in common: the sum of the smaller weights."""
+
+    def flat(texts):
+        # a shingle that occurs c times is c members, the first to the c-th, so that texts become sets
+        row = np.repeat(np.arange(len(texts)), [int(n.sum()) for _, n in texts])
+        h, n = (np.concatenate([t[i] for t in texts]) for i in (0, 1))
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return row, np.repeat(h, n), nth
+
+    (row_a, ha, ia), (row_b, hb, ib) = flat(left), flat(right)
+    met = np.intersect1d(ha, hb)
+    keep_a, keep_b = np.isin(ha, met), np.isin(hb, met)
+    row_a, ha, ia, row_b, hb, ib = row_a[keep_a], ha[keep_a], ia[keep_a], row_b[keep_b], hb[keep_b], ib[keep_b]
+    times = max(ia.max(initial=0), ib.max(initial=0)) + 1
+    names, at = np.unique(np.concatenate([np.searchsorted(met, ha) * times + ia, np.searchsorted(met, hb) * times + ib]), return_inverse=True)
+    at_a, at_b = at[: len(ha)], at[len(ha) :]
+    weights = table[_bucket(met[names // times])].astype(float) if len(met) else np.zeros(0)
+    out = np.zeros((len(left), len(right)))
+    for start in range(0, len(names), WIDTH):
+        a, b = np.zeros((len(left), WIDTH)), np.zeros((len(right), WIDTH))
+        in_a, in_b = (at_a >= start) & (at_a < start + WIDTH), (at_b >= start) & (at_b < start + WIDTH)
+        a[row_a[in_a], at_a[in_a] - start] = weights[at_a[in_a]]
+        b[row_b[in_b], at_b[in_b] - start] = 1.0
+        out += a @ b.T
+    return out
+
+
+def links_of(nodes: list[tuple], inner: bool, table: np.ndarray, least: float) -> list[tuple[str, str]]:
+    """Similar pairs of different roots among the nodes (side, key, root, words) of a cell; ``inner`` where a block meets itself."""
+    sides = [[n for n in nodes if inner or n[0] == side] for side in (0, 1)]
+    if not all(sides) or len({n[2] for n in nodes}) < 2:
+        return []
+    left = [counted(n[3]) for n in sides[0]]
+    right = left if inner else [counted(n[3]) for n in sides[1]]
+    common = common_weights(left, right, table)
+    size_a, size_b = (np.array([(n * table[_bucket(h)].astype(float)).sum() for h, n in texts]) for texts in (left, right))
+    alike = common >= least * (size_a[:, None] + size_b[None, :] - common) - 1e-9
+    pairs = ((sides[0][i], sides[1][j]) for i, j in np.argwhere(alike))
+    return [(min(a[1], b[1]), max(a[1], b[1])) for a, b in pairs if a[2] != b[2]]
+
+
+def linked(met: DataFrame, texts: DataFrame, idf, least: float = LEAST) -> DataFrame:
+    """The similar pairs (a, b) of different roots that meet in a cell of ``met``, with texts (key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, cell, nodes = idf.value, None, []
+
+        def found():
+            links = sorted(set(links_of(nodes, cell[1] == cell[2], table, least))) if nodes else []
+            return pa.record_batch([pa.array([p[i] for p in links], pa.string()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            words = batch["words"].values.to_numpy(zero_copy_only=False).view(np.uint64)
+            at = batch["words"].offsets.to_pylist()
+            named = zip(*[batch[c].to_pylist() for c in ("band", "x", "y", "side", "key", "root")], strict=True)
+            for i, (band, x, y, *node) in enumerate(named):
+                if cell != (band, x, y):
+                    yield found()
+                    cell, nodes = (band, x, y), []
+                nodes.append((*node, words[at[i] : at[i + 1]].copy()))
+        yield found()
+        pa.default_memory_pool().release_unused()
+
+    full = met.join(texts, "key").repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
+    return full.select("band", "x", "y", "side", "key", "root", hashed(F.col("text")).alias("words")).mapInArrow(run, "a string, b string")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -201,11 +280,11 @@ def classes(docs: DataFrame) -> DataFrame:
     met = spread.join(ends, "band")
     pairs = met.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("key").alias("b")), F.struct(F.col("key").alias("a"), F.col("hi").alias("b")))).alias("p"))
     pairs = cut_lineage(pairs.select("p.*").filter("a < b").distinct())
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()  # every node that shares a band
     texts = cut_lineage(rows.select("key", "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
     links = cut_lineage(verified(pairs, texts, idf))
     roots = components(links)
-    more = cut_lineage(verified(cut_lineage(across(spread, roots, pairs)), texts, idf))
+    more = cut_lineage(linked(cells(spread, roots), texts, idf).distinct())
     if not more.isEmpty():
         roots = components(links.union(more))
     out = rows.select("row", "key", (F.col("text") != "").alias("some")).join(roots, "key", "left")

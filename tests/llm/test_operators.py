@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +218,44 @@ def test_near_dups_loses_no_link_in_a_band_led_by_other_texts(spark, monkeypatch
     assert {r.doc_id: r.class_id for r in near_dups.members(docs).collect()} == {i: i - i % 2 for i in range(16)}
 
 
+def test_near_dups_of_one_crowded_band(spark, monkeypatch):
+    """600 texts in one band, most of them links of none: few rows are moved, and links are those of a plain scan."""
+    monkeypatch.setattr(near_dups, "bands", lambda rows, idf: rows.select("key", F.array(F.lit(1).cast("long")).alias("bands")))
+    monkeypatch.setattr(near_dups, "CELL", 50)
+    monkeypatch.setattr(near_dups, "WIDTH", 512)
+    moved, plain = [], near_dups.cells
+    monkeypatch.setattr(near_dups, "cells", lambda *a: moved.append(plain(*a).count()) or plain(*a))
+    rng = random.Random(4)
+    base = [f"w{i % 60}" for i in range(120)]
+    texts = []
+    for i in range(600):
+        kin = base if i % 3 else base[: 100 + i % 20]
+        texts.append(" ".join(f"e{i}" if rng.random() < (0.005, 0.03, 0.06)[i % 3] else w for w in kin))
+    idf = np.linspace(1, 2, near_dups.DF_BUCKETS).astype(np.float32)
+    monkeypatch.setattr(near_dups, "document_frequencies", lambda rows: idf)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dups.members(docs).collect()}
+    words = [r.w for r in docs.orderBy("doc_id").select(near_dups.hashed(F.col("text")).alias("w")).collect()]
+    sets = []
+    for w in words:
+        h, n = near_dups.counted(np.array(w, np.int64).view(np.uint64))
+        sets.append({(x, k): float(idf[x % near_dups.DF_BUCKETS]) for x, c in zip(h.tolist(), n.tolist(), strict=True) for k in range(c)})
+    root, sizes = list(range(600)), [sum(s.values()) for s in sets]
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(600):
+        for b in range(a):
+            common = sum(sets[a][x] for x in sets[a].keys() & sets[b].keys())
+            if common >= 0.8 * (sizes[a] + sizes[b] - common):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    assert got == {i: top(i) for i in range(600)} and 20 < len(set(got.values())) < 580
+    assert moved[0] < 600 * 20
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(40, 30), (30, 41), (100, 0)]
     got = {r.key: r.root for r in groups.components(spark.createDataFrame(links, "a long, b long")).collect()}
