@@ -19,9 +19,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketline.llm.batches import TokenIds, pieces, spread, starts_of
+from basketline.llm.batches import TokenIds, column_of, pieces, spread, starts_of
 from basketline.llm.pieces_model import BYTE, CONTROL, SPACE, UNKNOWN, load
-from basketline.llm.tables import text_of, unpacked, whole_row
+from basketline.llm.tables import unpacked, whole_row
 
 #: Bytes of words and ids that an encoder keeps, and characters that it takes at once.
 KEPT_BYTES, CHARS = 24_000_000, 500_000
@@ -155,13 +155,13 @@ def encode(docs: DataFrame, path: str, decoded: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(model.value), Decoder(model.value) if decoded else None
         for piece in pieces(batches, chars=CHARS):
-            ids, at = encoder(piece["text"].to_pylist())
+            ids, at = encoder([text or "" for text in column_of(piece, "text").to_pylist()])
             columns = {"row": piece["row"], "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))}
             if decoded:
                 columns["decoded"] = pa.array(decoder(ids, at), pa.string())
             yield pa.record_batch(list(columns.values()), names=list(columns))
 
-    packed = docs.select(whole_row(docs), text_of().alias("text"))
+    packed = docs.select(whole_row(docs))
     back = [F.lit("").alias("decoded")] if decoded else []
     schema = packed.select("row", F.array().cast("array<int>").alias("ids"), *back).schema
     return packed.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketline.llm.batches import TokenIds, pieces, row_sums, starts_of
+from basketline.llm.batches import TokenIds, column_of, pieces, row_sums, starts_of
 from basketline.llm.tables import text_of
 
 BUCKETS, DIM, SAMPLE, EPOCHS, RATE, SEED = 2**16, 16, 2000, 12, 0.5, 7
@@ -107,13 +107,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score") -> DataFrame:
     """All columns of ``docs`` packed in ``row``, and the score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of().alias("text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pull, bias = shared.value
         known, sums, sizes = TokenIds(), np.zeros(0), np.zeros(0)
         for piece in pieces(batches, chars=CHARS):
-            own = [text.split() for text in piece["text"].to_pylist()]
+            own = [(text or "").split() for text in column_of(piece, "text").to_pylist()]
             if known.size > KEPT_BYTES:
                 known, sums, sizes = TokenIds(), np.zeros(0), np.zeros(0)
             ids, new = known.index([w for words in own for w in words])

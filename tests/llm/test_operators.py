@@ -218,6 +218,17 @@ def test_near_dups_loses_no_link_in_a_band_led_by_other_texts(spark, monkeypatch
     assert {r.doc_id: r.class_id for r in near_dups.members(docs).collect()} == {i: i - i % 2 for i in range(16)}
 
 
+def test_a_text_goes_to_python_once(spark, awkward, monkeypatch):
+    """Scoring and encoding send the packed rows alone; null and sliced texts are read from them."""
+    sent, plain = [], type(awkward).mapInArrow
+    monkeypatch.setattr(type(awkward), "mapInArrow", lambda self, *a: sent.append(self.columns) or plain(self, *a))
+    monkeypatch.setattr(piece_coding, "CHARS", 30)
+    out = piece_coding.encode(awkward, vocabulary("piece_bpe_32k.model")).collect()
+    quality_model.scored(awkward, (np.zeros(quality_model.BUCKETS), 0.0))
+    assert sent == [["row"], ["row"]] and len(out) == len(ROWS)
+    assert [r.decoded for r in out] == [(r.row.text or "").replace("▁", " ") for r in out]
+
+
 def test_near_dups_of_one_crowded_band(spark, monkeypatch):
     """600 texts in one band, most of them links of none: few rows are moved, and links are those of a plain scan."""
     monkeypatch.setattr(near_dups, "bands", lambda rows, idf: rows.select("key", F.array(F.lit(1).cast("long")).alias("bands")))
