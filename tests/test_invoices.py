@@ -10,9 +10,11 @@ from functools import reduce
 import pytest
 from pyspark.sql import functions as F
 
+from basketline import session
 from basketline.functions import aggregates as agg
 from basketline.operators import invoices, labels, metrics, splits
 from suite import fixtures as fx
+from suite.queries import QUERIES
 
 SCHEMA = (
     "invoice_no string, customer_id string, country string, region string, shipping_risk_score bigint, "
@@ -204,3 +206,18 @@ def test_label_and_cuts_work_their_rows_out_once(spark):
     )
     for frame in (labels.with_repeat_label(rows), labels.with_repeat_label(rows, censor=True), splits.exact_cuts(rows)):
         assert "Range (" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_follow_the_rows(spark, sf_dir, monkeypatch):
+    """More lines than the session's shuffle partitions are made for: both folds get more of them."""
+    few = fx.line_tasks(spark, sf_dir)
+    queries = ("hash_split_fast", "dedupe_transactions")
+    expected = {name: sorted(map(repr, QUERIES[name](spark, sf_dir).collect())) for name in queries}
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    tasks = fx.line_tasks(spark, sf_dir)
+    assert few is None and tasks == -(-fx.table(spark, sf_dir, "lineitem").count() // 100)
+    for name in queries:
+        frame = QUERIES[name](spark, sf_dir)
+        dealt = [line for line in frame._jdf.queryExecution().executedPlan().toString().splitlines() if f", {tasks}), REPARTITION_BY_NUM" in line]
+        assert len(dealt) == 2
+        assert sorted(map(repr, frame.collect())) == expected[name]
