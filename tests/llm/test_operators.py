@@ -373,3 +373,22 @@ def test_pipeline_stages_take_awkward_and_empty_tables(spark, awkward, sf_dir):
             known = {r.doc_id for r in docs.select("doc_id").collect()}
             assert {r.doc_id for r in rows} <= known and bool(rows) == (given is awkward), name
             docs = spark.createDataFrame(rows, out.schema)
+
+
+def test_pipeline_sends_small_batches(spark):
+    """Stages that send texts to Python bound the rows of a batch; a smaller setting of the caller's stays."""
+    import corpus_pipeline
+    from basketline.llm.batches import ROWS_SETTING, small_batches
+
+    before = spark.conf.get(ROWS_SETTING)
+    try:
+        docs = spark.createDataFrame([(1, "a few words")], "doc_id long, text string")
+        for given, then in (("10000", "1000"), ("0", "1000"), ("100", "100")):
+            spark.conf.set(ROWS_SETTING, given)
+            small_batches(spark)
+            assert spark.conf.get(ROWS_SETTING) == then
+        spark.conf.set(ROWS_SETTING, "10000")
+        corpus_pipeline.pieces(spark, docs, "")
+        assert spark.conf.get(ROWS_SETTING) == "1000"
+    finally:
+        spark.conf.set(ROWS_SETTING, before)
