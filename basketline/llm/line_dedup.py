@@ -1,12 +1,13 @@
 """Drop lines that repeat an earlier line, or differ from one by a single word; keep the earliest.
 
-A line is its words; lines of fewer than ``MIN_WORDS`` words (blank ones too) always stay. Distinct lines are found first, each with its
-first place (document order key, line number). Two lines within one word of each other share their first or their last half
+A line is its words; lines of fewer than ``MIN_WORDS`` words (blank ones too) always stay. Texts are read once into a table of hashes
+and places, a row for each line, from which distinct lines are found, each with its first place (document order key, line number).
+Two lines within one word of each other share their first or their last half
 (cut by the longer one's length), so a line whose halves no other line has is done; the others know on which side a word may
-differ. Each of them emits its deletion variants on that side as hashed keys: one for each word left out, with the place of that word (equal keys: one word replaced), and one without it beside the
+differ, and only their words are fetched from the documents again. Each of them emits its deletion variants on that side as hashed keys: one for each word left out, with the place of that word (equal keys: one word replaced), and one without it beside the
 whole line (equal to a variant: one word added). A key keeps only its earliest whole line and earliest variant, so
 that no group is paired out or gathered. A line that some key puts behind an earlier one is held against that one word by
-word before it goes.
+word before it goes. Tables between the steps lie in the shared checkpoint folder until the numbers of the lines to drop are known.
 
 The hash of a variant is a sum over its word pairs, changed by the three pairs at the gap, so a line of n words costs
 O(n). Documents are ordered by doc_id, null last, then by text. A null text stays null. Rows
@@ -17,11 +18,13 @@ date. Built-in functions only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketline.llm.tables import GAP, WORD, unpacked, whole_row
-from basketline.session import cut_lineage
+from basketline.llm.tables import WORD, unpacked, whole_row
+from basketline.session import checkpoint_dir, cut_lineage, written
 
 MIN_WORDS = 5
 #: Pair hashes keep this many bits, so that sums over a line of millions of words fit a long.
@@ -30,32 +33,60 @@ DROPPED_BITS = 22
 REPLACED, LEFT_OUT, WHOLE = 0, 1, 2
 
 
+#: A gap between words that is not one space already.
+ODD_GAP = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
+
+
+def one_spaced(line: Column) -> Column:
+    """The words of a line with one space between them."""
+    return F.trim(F.regexp_replace(line, ODD_GAP, " "))
+
+
 def words_of(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+    """The words of a line that has one space between them."""
+    return F.split(line, " ")
 
 
 def _pair(a: Column, b: Column, seed: int) -> Column:
     return F.shiftright(F.xxhash64(F.lit(seed), a, b), DROPPED_BITS)
 
 
-def with_shared_half(lines: DataFrame) -> DataFrame:
-    """The lines (line, text, first) that have a half in common with another, and which: head, tail.
+def numbered(packed: DataFrame, text: Column) -> DataFrame:
+    """(h1, h2, place, halves) of every line of ``MIN_WORDS`` words or more: two hashes of it, its place and hashes of its halves.
 
     Where the longer of two lines has L words and they differ by one, their common beginning or their common end has
-    ``L // 2`` words or more. A line may be the longer one (L = n), as long, or the shorter one (L = n + 1).
+    ``L // 2`` words or more. A line may be the longer one (L = n), as long, or the shorter one (L = n + 1): the first two halves
+    are beginnings, the last two ends.
     """
-    w, n = F.col("_w"), F.size("_w")
+    lines = packed.select("doc", F.posexplode(F.transform(F.split(text, "\n", -1), one_spaced)).alias("at", "norm"))
+    n = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1
 
-    def halves(longer: Column) -> list[Column]:
+    def half(head: bool, longer: Column) -> Column:
         k = F.floor(longer / 2).cast("int")
-        parts = ((True, F.slice(w, F.lit(1), k)), (False, F.slice(w, n - k + 1, k)))
-        return [F.struct(F.xxhash64(F.lit(head), longer, part).alias("half"), F.lit(head).alias("head")) for head, part in parts]
+        return F.xxhash64(F.lit(head), longer, F.call_function("substring_index", "norm", F.lit(" "), k if head else -k))
+
+    halves = F.array(*[half(head, longer) for head in (True, False) for longer in (n, n + 1)]).alias("halves")
+    h1, h2 = F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(7), "norm").alias("h2")
+    return lines.filter(n >= MIN_WORDS).select(h1, h2, F.struct("doc", "at").alias("place"), halves)
+
 
-    each = lines.select("line", words_of(F.col("text")).alias("_w")).select("line", F.explode(F.array(*halves(n), *halves(n + 1))).alias("h"))
-    each = each.select("line", "h.*")
+def with_shared_half(distinct: DataFrame) -> DataFrame:
+    """(h1, h2, first) of the distinct lines that have a half in common with another, and which: head, tail."""
+    each = distinct.select("h1", "h2", F.posexplode("halves").alias("i", "half"))
     common = each.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    sides = each.join(common, "half").groupBy("line").agg(F.bool_or("head").alias("head"), F.bool_or(~F.col("head")).alias("tail"))
-    return lines.join(sides, "line")
+    sides = each.join(common, "half").groupBy("h1", "h2").agg(F.bool_or(F.col("i") < 2).alias("head"), F.bool_or(F.col("i") >= 2).alias("tail"))
+    return distinct.select("h1", "h2", "first").join(sides, ["h1", "h2"])
+
+
+def with_words(lines: DataFrame, packed: DataFrame, text: Column) -> DataFrame:
+    """``lines`` with their text, from the documents of their first places."""
+    of = F.collect_list(F.struct("h1", "h2", "first", "head", "tail"))
+    wanted = lines.groupBy(F.col("first.doc").alias("doc")).agg(of.alias("of"))
+    # a generated column is split once for each document, however many of its lines are taken
+    docs = packed.select("doc", text.alias("text")).join(wanted, "doc").select("of", F.explode(F.array(F.split("text", "\n", -1))).alias("all"))
+    taken = F.transform("of", lambda x: F.struct(x.alias("of"), F.get("all", x["first"]["at"]).alias("text")))
+    found = docs.select(F.explode(taken).alias("e")).select("e.of.*", one_spaced(F.col("e.text")).alias("text"))
+    return found.dropDuplicates(["h1", "h2"])  # a document may be there several times
 
 
 def keys(lines: DataFrame) -> DataFrame:
@@ -86,8 +117,8 @@ def keys(lines: DataFrame) -> DataFrame:
 def within_one(a: Column, b: Column) -> Column:
     """True where two arrays of words are at edit distance 0 or 1."""
     shorter = F.least(F.size(a), F.size(b))
-    positions = F.sequence(F.lit(0), shorter)
-    head = F.size(F.filter(positions, lambda i: (i < shorter) & (F.slice(a, F.lit(1), i + 1) == F.slice(b, F.lit(1), i + 1))))
+    other = F.array_position(F.zip_with(F.slice(a, F.lit(1), shorter), F.slice(b, F.lit(1), shorter), lambda x, y: x == y), F.lit(False))
+    head = F.when(other == 0, shorter).otherwise(other - 1).cast("int")
     cut = F.least(head + 1, F.size(a) + 1), F.least(head + 1, F.size(b) + 1)
     rest = lambda c, at: F.slice(c, at + 1, F.greatest(F.size(c) - at, F.lit(0)))
     return (
@@ -98,9 +129,8 @@ def within_one(a: Column, b: Column) -> Column:
     )
 
 
-def repeated(lines: DataFrame) -> DataFrame:
-    """(line) of the distinct lines, given as (line, text, first), that lie within one word of an earlier one."""
-    lines = cut_lineage(with_shared_half(lines))
+def repeated(lines: DataFrame, folder: str) -> DataFrame:
+    """(h1, h2) of the lines, given as (h1, h2, first, head, tail, text), that lie within one word of an earlier one."""
     made = keys(lines)
     shared = (
         made.groupBy("key")
@@ -110,14 +140,28 @@ def repeated(lines: DataFrame) -> DataFrame:
         .filter(F.col("lo") < F.col("hi")).filter(F.col("most") != LEFT_OUT)
         .select("key", "of_whole", "of_variant")
     )
-    shared = cut_lineage(shared)
+    shared = written(shared, f"{folder}/shared")
     met = made.join(shared, "key").select(
         "first", F.when(F.col("kind") == LEFT_OUT, F.col("of_whole")).otherwise(F.col("of_variant")).alias("earlier")
     )
     pairs = met.filter("earlier < first").select("first", "earlier").distinct()
-    a = lines.select("line", "first", words_of(F.col("text")).alias("_a"))
+    a = lines.select("h1", "h2", "first", words_of(F.col("text")).alias("_a"))
     b = lines.select(F.col("first").alias("earlier"), words_of(F.col("text")).alias("_b"))
-    return pairs.join(a, "first").join(b, "earlier").filter(within_one(F.col("_a"), F.col("_b"))).select("line").distinct()
+    return pairs.join(a, "first").join(b, "earlier").filter(within_one(F.col("_a"), F.col("_b"))).select("h1", "h2").distinct()
+
+
+def lines_to_drop(packed: DataFrame, text: Column, folder: str) -> DataFrame:
+    """(doc, gone): the numbers of the lines that go, for each document that has some."""
+    lines = written(numbered(packed, text), f"{folder}/lines")
+    first = lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("halves").alias("halves"), F.count("*").alias("n"))
+    distinct = written(first, f"{folder}/distinct")
+    halved = written(with_shared_half(distinct), f"{folder}/halved")
+    worded = written(with_words(halved, packed, text), f"{folder}/worded")
+    near = written(repeated(worded, folder), f"{folder}/near")
+    bad = distinct.drop("halves").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").filter("near or n > 1")
+    bad = bad.select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    gone = lines.select("h1", "h2", "place").join(bad, ["h1", "h2"]).filter("near or place > first").select("place").distinct()
+    return written(gone.groupBy("place.doc").agg(F.collect_set("place.at").alias("gone")), f"{folder}/gone")
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -125,22 +169,10 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text = F.col(f"row.{text_column}")
     place = F.struct(F.col(f"row.{id_column}").isNull().alias("n"), F.col(f"row.{id_column}").alias("id"), F.xxhash64(text).alias("h"))
     packed = docs.select(whole_row(docs)).select("row", place.alias("doc"))
-    lines = packed.select("doc", F.posexplode(F.split(text, "\n", -1)).alias("at", "text"))
-    lines = lines.withColumn("norm", F.trim(F.regexp_replace("text", GAP, " ")))
-    long_enough = F.regexp_count("norm", F.lit(WORD)) >= MIN_WORDS
-    numbered = lines.filter(long_enough).select(
-        F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(7), "norm").alias("h2"), F.struct("doc", "at").alias("place"), "norm"
-    )
-    line = F.struct("h1", "h2").alias("line")
-    first = numbered.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("text"), F.count("*").alias("n"))
-    distinct = cut_lineage(first.select(line, "text", "first", "n"))
-    near = cut_lineage(repeated(distinct.select("line", "text", "first")))
-    bad = distinct.join(near.withColumn("near", F.lit(True)), "line", "left").filter("near or n > 1")
-    bad = bad.select("line.h1", "line.h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = (
-        numbered.drop("norm").join(bad, ["h1", "h2"]).filter("near or place > first").select("place").distinct()
-        .groupBy("place.doc").agg(F.collect_set("place.at").alias("gone"))
-    )
+    spark = docs.sparkSession
+    folder = f"{checkpoint_dir(spark)}/lines/{uuid.uuid4()}"
+    gone = cut_lineage(lines_to_drop(packed, text, folder))
+    spark.range(0).write.mode("overwrite").parquet(folder)  # the tables between the steps are done with
     # the join has dealt rows out by doc already, so folding equal documents costs no shuffle
     out = packed.join(gone, "doc", "left").dropDuplicates(["doc"]).select("row", "gone")
     kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("gone", i))

@@ -15,6 +15,7 @@ import corpus_pipeline
 from basketline.llm import fingerprints, groups, line_dedup, mixing, near_dups, piece_coding, pieces_model
 from basketline.llm import quality_model, quality_rules, secret_scan, token_counts, url_filter
 from basketline.llm.queries import QUERIES, vocabulary
+from basketline.session import SHUFFLES_GO
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -197,6 +198,35 @@ def test_line_held_against_a_whole_line_behind_another_variant(spark):
     assert sorted(r.doc_id for r in got.collect()) == [1, 5]
 
 
+def test_only_lines_with_a_shared_half_are_kept_with_their_words(spark, monkeypatch):
+    """The tables between the steps hold hashes and places, words of lines that may be near another alone, and go in the end."""
+    tables, put = {}, line_dedup.written
+
+    def seen(df, path):
+        out = put(df, path)
+        tables[path] = out.collect()
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", seen)
+    rows = [(i, f"line {i} of{i} its{i} own{i} kind{i}") for i in range(20)] + [(20, "a b c d e f\nz"), (20, "a b c d e f\nz"), (21, "a b  c d\te g")]
+    before = spark.conf.get(SHUFFLES_GO, None)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: t for i, t in rows if i < 21} and spark.conf.get(SHUFFLES_GO, None) == before
+    texts = [x for t in tables.values() for r in t for x in r.asDict(True).values() if isinstance(x, str)]
+    assert sorted(texts) == ["a b c d e f", "a b c d e g"]
+    folder = next(iter(tables)).rsplit("/", 1)[0]
+    assert spark.read.parquet(folder).count() == 0
+
+
+def test_lines_of_thousands_of_words(spark):
+    """Long lines are verified in one pass: a word changed, one added, two changed."""
+    words = [f"w{i}" for i in range(6000)]
+    texts = [words, [*words[:5000], "x", *words[5001:]], [*words[:10], "y", *words[10:]], [*words[:10], "p", "q", *words[12:]]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == [0, 3]
+
+
 def test_near_duplicates(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     of = {r.doc_id: r.class_id for r in near_dups.members(docs).collect()}
