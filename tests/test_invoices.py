@@ -104,6 +104,19 @@ def test_sums_of_doubles_are_exact_in_any_cut(spark):
             assert once[i] == twice[i][0] == exactly(g) and twice[i][1] == exactly(g) / len(g)
 
 
+def test_sums_of_money_are_rounded_by_one_addition(spark):
+    """Sums without a high digit whose others are doubles go the short way, all others the long one, to the same number."""
+    groups = [[19.99, 0.01, -3.5], [0.1] * 5, [], [1e20, 1.0], [2.0**30, 0.1], [0.1, 2.0**23], [-0.07, -1234.56], [0.1] * 20]
+    df = spark.createDataFrame([(i, v) for i, g in enumerate(groups) for v in [*g, None]], "g int, x double")
+    sums = df.groupBy("g").agg(*agg.parts(F.col("x"), "x"))
+    digits = [F.col(c) for c in agg.part_columns("x")[:3]]
+    got = {r.g: (r.short, r.s) for r in sums.select("g", agg._short(*digits).alias("short"), agg.total("x").alias("s")).collect()}
+    for i in (0, 1, 6):
+        assert got[i][0] == got[i][1] == exactly(groups[i])
+    assert got[2] == (None, None) and all(got[i] == (None, exactly(groups[i])) for i in (3, 4, 7))
+    assert got[5][1] == exactly(groups[5])
+
+
 def test_what_lies_outside_the_digits_is_added_plainly(spark):
     nothing, inf = float("nan"), float("inf")
     rows = [(0, 1e300), (0, 1.0), (1, inf), (1, 1.0), (2, nothing), (3, 1e-300), (3, 1e-300), (4, None), (5, -1e300), (5, 1e300), (5, 2.5)]
