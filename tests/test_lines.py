@@ -5,9 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from basketline import session
 from basketline.functions import casts
 from basketline.operators import dedupe, enrich, normalize, validate
 from basketline.sources import readers
+from suite.queries import QUERIES
 
 RAW = (
     "invoice_no string, stock_code string, description string, quantity string, invoice_date string, "
@@ -327,3 +329,31 @@ def test_dedupe_folds_no_more_than_a_shuffle_partition(spark, sf_dir):
     first_fold = max(at for at, line in enumerate(plan.splitlines()) if "partial_min" in line)
     assert any("_task" in line and "Exchange" in line for line in plan.splitlines()[first_fold:])
     assert [tuple(r) for r in dedupe.dedupe(rows, copies="copies").collect()] == [("same", 0, 4000)]
+
+
+@pytest.mark.parametrize("broadcast_hashes", [1_000_000, 0])
+def test_large_dedupe_moves_only_repeated_keys(spark, monkeypatch, broadcast_hashes):
+    """Few repeated keys: no exchange of whole rows is left; many: folded in slices. Either way the rows of the plain fold."""
+    monkeypatch.setattr(dedupe, "BROADCAST_HASHES", broadcast_hashes)
+    monkeypatch.setattr(dedupe, "SLICE_ROWS", 1000)
+    rows = spark.range(0, 4000, 1, 4).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN 'hot' WHEN id % 10 > 1 THEN CAST(id DIV 2 AS STRING) END AS transaction_id",
+        "id % 7 AS quantity", "CAST(id % 3 AS STRING) AS country", "CAST(-0.0 * id AS DOUBLE) AS unit_price",
+    )
+    expected = sorted(map(repr, dedupe.dedupe(rows, copies="copies").collect()))
+    for tasks in (None, 9):
+        found = dedupe.dedupe(rows, copies="copies", tasks=tasks, large=True)
+        assert sorted(map(repr, found.collect())) == expected
+        assert "Exchange hashpartitioning" not in plan_of(found) and "Range (" not in plan_of(found)
+    assert dedupe.dedupe(rows, large=True).columns == rows.columns
+    # zeros of two signs are one key, but have two hashes: such keys are folded the plain way
+    signed = spark.sql("SELECT * FROM VALUES (0D, 1), (-0D, 2), (0D, 3) AS t(k, v)")
+    assert dedupe.dedupe(signed, ["k"], copies="n", large=True).select("v", "n").collect() == [(1, 3)]
+
+
+def test_large_tables_take_the_same_lines(spark, sf_dir, monkeypatch):
+    names = ("dedupe_transactions", "enrich_auto", "enrich_broadcast", "enrich_merge", "invoice_features", "sales_metrics")
+    expected = {name: sorted(map(repr, QUERIES[name](spark, sf_dir).collect())) for name in names}
+    monkeypatch.setattr(session, "LARGE_ROWS", 100)
+    for name in names:
+        assert sorted(map(repr, QUERIES[name](spark, sf_dir).collect())) == expected[name], name
