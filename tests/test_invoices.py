@@ -234,3 +234,15 @@ def test_tasks_follow_the_rows(spark, sf_dir, monkeypatch):
         dealt = [line for line in frame._jdf.queryExecution().executedPlan().toString().splitlines() if f", {tasks}), REPARTITION_BY_NUM" in line]
         assert len(dealt) == (3 if name == "invoice_features_distinct" else 2)
         assert sorted(map(repr, frame.collect())) == expected[name]
+
+
+def test_rows_read_twice_are_stored_in_columns(spark):
+    """A checkpoint of rows is not compressed; a column that no file format has still goes that way."""
+    rows = spark.range(8).selectExpr(
+        "string(id) invoice_no", "'c' customer_id", "'x' country", "'y' region", "1L shipping_risk_score",
+        "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(id) invoice_ts",
+    )
+    for frame in (labels.with_repeat_label(rows), splits.exact_cuts(rows)):
+        assert "FileScan parquet" in frame._jdf.queryExecution().executedPlan().toString()
+    untyped = labels.with_repeat_label(rows.withColumn("nothing", F.lit(None)))
+    assert sorted(untyped.drop("nothing").collect()) == sorted(labels.with_repeat_label(rows).collect())
