@@ -296,3 +296,16 @@ def test_default_dimension_has_unique_countries(spark):
     dim = enrich.country_dim(spark)
     assert dim.count() == dim.select("country").distinct().count() == 10
     assert labels.DEFAULT_HORIZON_DAYS == 30
+
+
+def test_a_large_forest_keeps_no_node_ids(spark, store, monkeypatch):
+    """Its node ids would take more disk than its rows; without them the trees are the same. Vectors get a task for each core."""
+    prepared = train.prepare(readers.read_gold(spark, store["gold"] + "/model_features"), LABEL)
+    assert prepared.train.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    forest = models.random_forest(LABEL, numTrees=5, maxDepth=6)
+    assert models.within_disk(forest, prepared.train).getCacheNodeIds()
+    kept = models.fit_on(prepared.features, prepared.train, forest).stages[-1]
+    monkeypatch.setattr(models, "NODE_ID_BYTES", 0)
+    assert not models.within_disk(forest, prepared.train).getCacheNodeIds()
+    walked = models.fit_on(prepared.features, prepared.train, forest).stages[-1]
+    assert kept.toDebugString == walked.toDebugString
