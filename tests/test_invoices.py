@@ -246,3 +246,20 @@ def test_rows_read_twice_are_stored_in_columns(spark):
         assert "FileScan parquet" in frame._jdf.queryExecution().executedPlan().toString()
     untyped = labels.with_repeat_label(rows.withColumn("nothing", F.lit(None)))
     assert sorted(untyped.drop("nothing").collect()) == sorted(labels.with_repeat_label(rows).collect())
+
+
+def test_whole_invoices_are_dealt_out_unless_one_is_giant(spark, monkeypatch):
+    """Distinct items of large lines take one exchange; a giant invoice is spread by its items, as in smaller tables."""
+    lines = spark.range(600).selectExpr(
+        "CASE WHEN id < 300 THEN 'big' ELSE string(id DIV 3) END invoice_no", "string(least(id, 0)) customer_id",
+        "string(least(id, 0)) country", "string(least(id, 0)) region", "least(id, 0) shipping_risk_score",
+        "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(least(id, 0)) invoice_ts", "string(id % 40) stock_code", "1L quantity",
+        "2.5D unit_price", "2.5D line_total", "0 is_return",
+    )
+    expected = sorted(map(repr, invoices.invoice_baskets(lines).collect()))
+    for limit, exchanges in ((1000, 1), (100, 2)):
+        monkeypatch.setattr(invoices.giant_invoice, "__defaults__", (limit,))
+        frame = invoices.invoice_baskets(lines, tasks=7, large=True)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == exchanges
+        assert sorted(map(repr, frame.collect())) == expected
