@@ -263,3 +263,12 @@ def test_whole_invoices_are_dealt_out_unless_one_is_giant(spark, monkeypatch):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == exchanges
         assert sorted(map(repr, frame.collect())) == expected
+
+
+def test_draws_are_checked_one_after_the_other(spark, sf_dir):
+    """The result reads five written rows; joins that it still held would keep the files of all of them at once."""
+    flags = QUERIES["draw_flags"](spark, sf_dir)
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Subquery" not in plan
+    assert sorted(r.draw for r in flags.collect()) == ["bernoulli", "hash test", "hash train", "poisson", "stratified"]
+    assert all(r.fair_size and r.rows_of_table for r in flags.collect())
